@@ -15,6 +15,7 @@ from strandline.llm import (
     quality_rules,
     secret_scan,
     sentencepiece_codec,
+    suffix_dedup,
     warc_bundles,
 )
 
@@ -29,6 +30,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontamination": lambda s, d: decontamination.report(t(s, d, "documents"), t(s, d, "benchmark")),
         "op2_sentencepiece": lambda s, d: sentencepiece_codec.round_trip(t(s, d, "documents"), sentencepiece_codec.default_model()),
         "op3_secret_scan": lambda s, d: secret_scan.report(t(s, d, "documents")),
+        "op4_suffix_dedup": lambda s, d: suffix_dedup.report(t(s, d, "documents")),
         "op5_near_dedup": lambda s, d: near_dedup.report(t(s, d, "documents")),
         "op6_warc": lambda s, d: warc_bundles.report(t(s, d, "pages")),
         "op7_license_scan": lambda s, d: license_scan.report(t(s, d, "documents")),
