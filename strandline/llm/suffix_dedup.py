@@ -5,6 +5,8 @@ it, whose place depends on the string alone. So equal strings have equal anchors
 at equal places, and only suffixes at anchors have to be sorted. A suffix comes
 with its context: all bytes of the strings that it anchors.
 
+0. Of exact copies only that of the least doc_id takes part; the others are
+   removed as a whole (all their strings are in it).
 1. Texts are packed into segments (about SEGMENT_BYTES each), a bucketed table,
    and each segment sends the hashes of its anchors to buckets, which answer for
    each hash whether other segments have it too. Anchors that only one document
@@ -31,9 +33,9 @@ empty table gives no rows. Cutting may split a character: kept is binary.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,15 +43,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import textbuf
-from strandline.llm.store import parts, stored
+from strandline.llm.store import ids_hint, parts, stored
 
 LENGTH = 50
 GRAM = 16
 #: Windows that an anchor can stand for: it is within one string of each.
 WIDTH = LENGTH - GRAM + 1
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 2 << 20
 HOT_SEGMENTS = 4096
+#: A context as a row of bytes: kind, suffix from the anchor, bytes before it (backwards), both lengths.
+ROW = 1 + LENGTH + WIDTH - 1 + 2
+CONTEXT, STRING = 1, 2
+#: Positions that are hashed at once, so that the work stays in the CPU's cache.
+BLOCK = 1 << 16
 _PLACE_BITS = 31
+_BASE = 0x9E3779B97F4A7C15
 _NO_ID = (1 << 63) - 1
 
 
@@ -58,27 +66,11 @@ class Segment:
 
     def __init__(self, ids: np.ndarray, offs: np.ndarray, data: np.ndarray):
         """Anchors: hash, place at, first and last start (lo, hi) of the strings they stand for, doc (number)."""
-        self.ids, self.offs, self.data, self.raw = ids, offs, data, data.tobytes()
+        self.ids, self.offs, self.data = ids, offs, data
         n = len(data)
-        if n < LENGTH:
-            self.at = self.lo = self.hi = self.doc = np.zeros(0, np.int64)
-            self.hash = np.zeros(0, np.uint64)
-            return
-        h, power = data.astype(np.uint64) + np.uint64(1), 0x9E3779B97F4A7C15
-        step = 1
-        while step < GRAM:
-            h = h[:-step] * np.uint64(power) + h[step:]
-            power = power * power % (1 << 64)
-            step *= 2
-        h = textbuf.mix(h)
-        least = h >> np.uint64(_PLACE_BITS) << np.uint64(_PLACE_BITS) | np.arange(len(h), dtype=np.uint64)
-        step = 1
-        while 2 * step <= WIDTH:
-            least = np.minimum(least[:-step], least[step:])
-            step *= 2
-        if step < WIDTH:
-            least = np.minimum(least[: len(least) - (WIDTH - step)], least[WIDTH - step :])
-        anchor = (least & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
+        blocks = [_anchors(data[s : s + BLOCK + LENGTH - 1], s) for s in range(0, max(0, n - LENGTH + 1), BLOCK)]
+        anchor = np.concatenate([b[0] for b in blocks]) if blocks else np.zeros(0, np.int64)
+        hashed = np.concatenate([b[1] for b in blocks]) if blocks else np.zeros(0, np.uint64)
         ends = np.repeat(offs[1:], np.diff(offs))[: len(anchor)]
         start = np.flatnonzero(np.arange(len(anchor)) + LENGTH <= ends)
         at = anchor[start]
@@ -88,7 +80,7 @@ class Segment:
         last = np.append(first[1:], len(start)) - 1 if len(start) else first
         self.at, self.lo, self.hi = at[first], start[first], start[last]
         self.doc = np.searchsorted(offs, self.lo, "right") - 1
-        self.hash = h[self.at]
+        self.hash = hashed[start[first]]
 
     @classmethod
     def unpack(cls, packed: bytes) -> Segment:
@@ -104,29 +96,77 @@ class Segment:
         np.maximum.at(high, number, self.doc)
         return hashes, number, low != high
 
-    def entries(self, repeated: np.ndarray, hot: np.ndarray) -> tuple[dict[bytes, list[tuple[int, int]]], dict[bytes, int]]:
-        """For each context of the anchors whose hash is repeated: the (doc, first start) of its places, and its hash."""
-        hashes, number, local = self.grams()
-        out: dict[bytes, list[tuple[int, int]]] = {}
-        of: dict[bytes, int] = {}
-        raw = self.raw
-        for k in np.flatnonzero((repeated | local)[number]):
-            at, lo, hi, doc, h = int(self.at[k]), int(self.lo[k]), int(self.hi[k]), int(self.doc[k]), int(self.hash[k])
-            if hot[number[k]]:
-                for s in range(lo, hi + 1):
-                    key = b"\1" + raw[s : s + LENGTH]
-                    out.setdefault(key, []).append((doc, s))
-                    of[key] = int.from_bytes(hashlib.blake2b(key, digest_size=8).digest())
-                continue
-            end = hi + LENGTH
-            key = b"\0" + raw[at:end] + raw[lo:at][::-1] + bytes((end - at,))
-            held = out.get(key)
-            if held is None:
-                out[key] = [(doc, lo)]
-                of[key] = h
-            else:
-                held.append((doc, lo))
-        return out, of
+    def entries(self, repeated: np.ndarray, hot: np.ndarray) -> Entries:
+        """The contexts of the anchors whose hash is repeated; of hot ones their single strings."""
+        _, number, local = self.grams()
+        pick = (repeated | local)[number]
+        own = np.flatnonzero(pick & ~hot[number])
+        at, lo, hi, doc, of = (x[own] for x in (self.at, self.lo, self.hi, self.doc, self.hash))
+        single = np.flatnonzero(pick & hot[number])
+        if len(single):
+            n = self.hi[single] - self.lo[single] + 1
+            s = np.repeat(self.lo[single] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            at, lo, hi, doc = (np.concatenate(x) for x in ((at, s), (lo, s), (hi, s), (doc, np.repeat(self.doc[single], n))))
+        rows = np.zeros((len(at), ROW), np.uint8)
+        padded = np.concatenate([np.zeros(WIDTH, np.uint8), self.data, np.zeros(LENGTH, np.uint8)])
+        for s in range(0, len(at), 4096):
+            a, size, before = at[s : s + 4096, None] + WIDTH, (hi - at)[s : s + 4096, None] + LENGTH, (at - lo)[s : s + 4096, None]
+            part = rows[s : s + 4096]
+            part[:, 0] = CONTEXT
+            part[:, 1 : 1 + LENGTH] = padded[a + np.arange(LENGTH)] * (np.arange(LENGTH) < size)
+            part[:, 1 + LENGTH : -2] = padded[a - 1 - np.arange(WIDTH - 1)] * (np.arange(WIDTH - 1) < before)
+            part[:, -2:] = np.concatenate([size, before + 1], axis=1)
+        if len(single):
+            rows[len(own) :, 0] = STRING
+            power = np.array([pow(_BASE, k, 1 << 64) for k in range(LENGTH)], np.uint64)
+            of = np.concatenate([of, textbuf.mix((rows[len(own) :, 1 : 1 + LENGTH] * power).sum(axis=1, dtype=np.uint64))])
+        keys, where, entry = np.unique(rows.view(f"S{ROW}").ravel(), return_index=True, return_inverse=True)
+        return Entries(rows[where], entry, doc, lo, (hi - lo + 1)[where], of[where], _least(self.ids[doc], entry, len(keys)))
+
+
+class Entries(NamedTuple):
+    """Distinct contexts in order (rows, strings: how many each has, hash, least: doc_id), and their places (entry, doc, lo)."""
+
+    rows: np.ndarray
+    entry: np.ndarray
+    doc: np.ndarray
+    lo: np.ndarray
+    strings: np.ndarray
+    hash: np.ndarray
+    least: np.ndarray
+
+
+def _least(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
+    out = np.full(n, _NO_ID)
+    np.minimum.at(out, group, values)
+    return out
+
+
+def _anchors(data: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each string of LENGTH bytes: the place of its anchor, counted from `first`, and the anchor's hash."""
+    n = len(data)
+    # grams of 1, 2, 4 ... bytes are joined to grams of GRAM bytes
+    part, size, power = data.astype(np.uint64) + np.uint64(1), 1, _BASE
+    h, done = None, 0
+    while True:
+        if GRAM & size:
+            h = part if h is None else part[: len(part) - done] * np.uint64(pow(_BASE, done, 1 << 64)) + h[size:]
+            done += size
+            h = h[: n - done + 1]
+        if done == GRAM:
+            break
+        part = part[:-size] * np.uint64(power) + part[size:]
+        power, size = power * power % (1 << 64), 2 * size
+    h = textbuf.mix(h)
+    least = h >> np.uint64(_PLACE_BITS) << np.uint64(_PLACE_BITS) | np.arange(len(h), dtype=np.uint64)
+    step = 1
+    while 2 * step <= WIDTH:
+        least = np.minimum(least[:-step], least[step:])
+        step *= 2
+    if step < WIDTH:
+        least = np.minimum(least[: len(least) - (WIDTH - step)], least[WIDTH - step :])
+    place = (least & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
+    return place + first, h[place]
 
 
 def lcp(a: bytes, b: bytes, known: int) -> int:
@@ -136,27 +176,21 @@ def lcp(a: bytes, b: bytes, known: int) -> int:
     return known + (8 * (n - known) - differ.bit_length()) // 8 if differ else n
 
 
-def front_coded(keys: list[bytes]) -> tuple[bytes, bytes, bytes]:
-    """(shared prefix lengths, lengths, the rests) of sorted keys of fewer than 256 bytes."""
-    if not keys:
-        return b"", b"", b""
-    sizes = np.array([len(k) for k in keys])
-    width = int(sizes.max())
-    grid = np.frombuffer(b"".join([k.ljust(width, b"\0") for k in keys]), np.uint8).reshape(len(keys), width)
-    differ = grid[1:] != grid[:-1]
-    shared = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
-    shared = np.concatenate([[0], np.minimum(shared, np.minimum(sizes[1:], sizes[:-1]))])
-    return shared.astype(np.uint8).tobytes(), sizes.astype(np.uint8).tobytes(), b"".join([k[s:] for k, s in zip(keys, shared.tolist(), strict=True)])
-
-
-def decoded(shared: bytes, sizes: bytes, rests: bytes) -> list[bytes]:
-    out, last, at = [], b"", 0
-    for s, n in zip(shared, sizes, strict=True):
-        to = at + n - s
-        last = last[:s] + rests[at:to]
-        at = to
-        out.append(last)
-    return out
+def front_coded(rows: np.ndarray) -> tuple[bytes, bytes]:
+    """(lengths of the prefixes that sorted rows share with the one before, the rests)."""
+    differ = rows[1:] != rows[:-1]
+    shared = np.concatenate([[0], np.where(differ.any(axis=1), differ.argmax(axis=1), ROW)]).astype(np.uint8)
+    return shared.tobytes(), rows[np.arange(ROW) >= shared[:, None]].tobytes()
+
+
+def decoded(shared: bytes, rests: bytes) -> list[bytes]:
+    known = np.frombuffer(shared, np.uint8)
+    rows = np.zeros((len(known), ROW), np.uint8)
+    own = np.arange(ROW) >= known[:, None]
+    rows[own] = np.frombuffer(rests, np.uint8)
+    last = np.maximum.accumulate(np.where(own, np.arange(len(known))[:, None], 0), axis=0)
+    raw = np.take_along_axis(rows, last, axis=0).tobytes()
+    return [raw[i : i + ROW] for i in range(0, len(raw), ROW)]
 
 
 def merged(runs: list[tuple[list[bytes], bytes]]) -> Iterator[tuple[int, int, int]]:
@@ -206,30 +240,19 @@ def merged(runs: list[tuple[list[bytes], bytes]]) -> Iterator[tuple[int, int, in
 
 
 def _context(key: bytes) -> bytes:
-    if key[0]:
-        return key[1:]
-    size = key[-1]
-    return key[1 + size : -1][::-1] + key[1 : 1 + size]
+    return key[1 + LENGTH : LENGTH + key[-1]][::-1] + key[1 : 1 + key[-2]]
 
 
-def covered(group: list[tuple[bytes, list[tuple[int, int, int]]]]) -> Iterator[tuple[int, int, int]]:
-    """(run, place, mask): which of the strings of each context of a group a smaller doc_id has; group: (key, its (run, place, doc_id))."""
-    least = [min(e[2] for e in entries) for _, entries in group]
+def covered(keys: list[bytes], least: list[int]) -> list[int]:
+    """For each of the contexts of one gram: a mask of its strings that a context of a smaller doc_id has."""
+    contexts = [_context(k) for k in keys]
     seen: dict[bytes, int] = {}
-    contexts = [_context(k) for k, _ in group]
-    if len(group) > 1:
-        for context, doc in zip(contexts, least, strict=True):
-            for j in range(len(context) - LENGTH + 1):
-                s = context[j : j + LENGTH]
-                if seen.get(s, _NO_ID) > doc:
-                    seen[s] = doc
-    for (_, entries), context, doc in zip(group, contexts, least, strict=True):
-        n = len(context) - LENGTH + 1
-        own = sum(1 << j for j in range(n) if seen[context[j : j + LENGTH]] < doc) if len(group) > 1 else 0
-        for run, place, other in entries:
-            mask = own if other == doc else (1 << n) - 1
-            if mask:
-                yield run, place, mask
+    for context, doc in zip(contexts, least, strict=True):
+        for j in range(len(context) - LENGTH + 1):
+            s = context[j : j + LENGTH]
+            if seen.get(s, _NO_ID) > doc:
+                seen[s] = doc
+    return [sum(1 << j for j in range(len(c) - LENGTH + 1) if seen.get(c[j : j + LENGTH], doc) < doc) for c, doc in zip(contexts, least, strict=True)]
 
 
 # --- the four steps as DataFrames --------------------------------------------
@@ -307,7 +330,7 @@ def _flags(segment: Segment, answers: pa.Table, buckets: int) -> tuple[np.ndarra
     return repeated, hot
 
 
-_RUN = "segment string, bucket int, shared binary, sizes binary, rests binary, docs binary, places binary"
+_RUN = "segment string, bucket int, shared binary, rests binary, docs binary, places binary"
 
 
 def _runs(buckets: int):
@@ -315,18 +338,15 @@ def _runs(buckets: int):
         rows = []
         for name, packed in zip(left.column("segment").to_pylist(), left.column("docs").to_pylist(), strict=True):
             segment = Segment.unpack(packed)
-            entries, of = segment.entries(*_flags(segment, right, buckets))
-            keys = sorted(entries)
-            number = {k: i for i, k in enumerate(entries)}
-            dealt: list[list[bytes]] = [[] for _ in range(buckets)]
-            for k in keys:
-                dealt[(of[k] >> 32) * buckets >> 32].append(k)
-            for b, own in enumerate(dealt):
-                if own:
-                    docs = np.array([min(int(segment.ids[d]) for d, _ in entries[k]) for k in own], "<i8")
-                    rows.append((name, b, *front_coded(own), docs.tobytes(), np.array([number[k] for k in own], "<u4").tobytes()))
-        kinds = (pa.string(), pa.int32(), *[pa.binary()] * 5)
-        return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["segment", "bucket", "shared", "sizes", "rests", "docs", "places"])
+            found = segment.entries(*_flags(segment, right, buckets))
+            bucket = ((found.hash >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            to = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            for b in np.flatnonzero(np.diff(to)):
+                own = order[to[b] : to[b + 1]]
+                rows.append((name, int(b), *front_coded(found.rows[own]), found.least[own].astype("<i8").tobytes(), own.astype("<u4").tobytes()))
+        kinds = (pa.string(), pa.int32(), *[pa.binary()] * 4)
+        return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["segment", "bucket", "shared", "rests", "docs", "places"])
 
     return run
 
@@ -335,36 +355,37 @@ def _merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     """For each segment of a bucket: places of its entries and masks of their strings to remove."""
     names, runs, docs, places = [], [], [], []
     for batch in batches:
-        for name, shared, sizes, rests, d, p in zip(*(batch.column(c).to_pylist() for c in ("segment", "shared", "sizes", "rests", "docs", "places")), strict=True):
+        for name, shared, rests, d, p in zip(*(batch.column(c).to_pylist() for c in ("segment", "shared", "rests", "docs", "places")), strict=True):
             names.append(name)
-            runs.append((decoded(shared, sizes, rests), shared))
-            docs.append(np.frombuffer(d, "<i8").tolist())
-            places.append(np.frombuffer(p, "<u4").tolist())
-    out: list[list[tuple[int, int]]] = [[] for _ in names]
-
-    def close(group: list) -> None:
-        if len(group) > 1 or group and len(group[0][1]) > 1:
-            for run, place, mask in covered(group):
-                out[run].append((places[run][place], mask))
-
-    group: list = []
-    last = b""
-    for run, place, shared in merged(runs):
-        k = runs[run][0][place]
-        entry = (run, place, docs[run][place])
-        if shared == len(k) == len(last) and group:
-            group[-1][1].append(entry)
-        else:
-            if shared < (1 + GRAM if k[0] == 0 else 1 + LENGTH):
-                close(group)
-                group = []
-            group.append((k, [entry]))
-        last = k
-    close(group)
-    for name, found in zip(names, out, strict=True):
-        if found:
-            where, masks = zip(*found, strict=True)
-            yield pa.record_batch([pa.array([name]), pa.array([np.array(where, "<u4").tobytes()], pa.binary()), pa.array([np.array(masks, "<u8").tobytes()], pa.binary())], ["segment", "where", "masks"])
+            runs.append((decoded(shared, rests), shared))
+            docs.append(np.frombuffer(d, "<i8"))
+            places.append(np.frombuffer(p, "<u4"))
+    n = sum(map(len, docs))
+    order = np.fromiter((x for found in merged(runs) for x in found), np.int64, 3 * n).reshape(n, 3)
+    run, place, shared = order[:, 0], order[:, 1], order[:, 2]
+    base = np.cumsum([0] + [len(d) for d in docs])
+    doc = np.concatenate(docs)[base[run] + place]
+    new_key = shared < ROW
+    new_group = shared < 1 + GRAM
+    new_key[:1] = new_group[:1] = True
+    first = np.flatnonzero(new_key)
+    least = np.minimum.reduceat(doc, first)
+    strings = np.array([runs[r][0][p][-2] + runs[r][0][p][-1] - LENGTH for r, p in zip(run[first].tolist(), place[first].tolist(), strict=True)], np.uint64)
+    full = (np.uint64(1) << strings) - np.uint64(1)
+    own = np.zeros(len(first), np.uint64)
+    group = np.cumsum(new_group[first]) - 1
+    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    ends = np.append(starts[1:], len(group))
+    for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True):
+        keys = [runs[run[i]][0][place[i]] for i in first[s:e]]
+        if keys[0][0] == CONTEXT:
+            own[s:e] = covered(keys, least[s:e].tolist())
+    of = np.cumsum(new_key) - 1
+    mask = np.where(doc > least[of], full[of], own[of])
+    for r, name in enumerate(names):
+        on = np.flatnonzero((run == r) & (mask != 0))
+        if len(on):
+            yield pa.record_batch([pa.array([name]), pa.array([places[r][place[on]].tobytes()], pa.binary()), pa.array([mask[on].astype("<u8").tobytes()], pa.binary())], ["segment", "where", "masks"])
 
 
 def _cut(buckets: int):
@@ -372,59 +393,55 @@ def _cut(buckets: int):
         done = []
         for packed in left.column("docs").to_pylist():
             segment = Segment.unpack(packed)
-            entries, _ = segment.entries(*_flags(segment, right, buckets))
-            starts = np.zeros(len(segment.data) + 1, bool)
-            masks: dict[int, int] = {}
+            found = segment.entries(*_flags(segment, right, buckets))
+            ids, offs = segment.ids, segment.offs
+            masks = np.zeros(len(found.rows), np.uint64)
             for where, m in zip(right.column("where").to_pylist(), right.column("masks").to_pylist(), strict=True):
                 if where is not None:
-                    masks |= zip(np.frombuffer(where, "<u4").tolist(), np.frombuffer(m, "<u8").tolist(), strict=True)
-            ids = segment.ids.tolist()
-            firsts, own = [], []
-            for i, (key, held) in enumerate(entries.items()):
-                mask = masks.get(i, 0)
-                if not mask and len(held) == 1:
-                    continue
-                least = min(ids[d] for d, _ in held)
-                full = (1 << len(key) - 1 - (key[0] == 0) - LENGTH + 1) - 1
-                for d, lo in held:
-                    m = mask if ids[d] == least else full
-                    if m:
-                        firsts.append(lo)
-                        own.append(m)
-            firsts, own = np.array(firsts, np.int64), np.array(own, np.uint64)
+                    masks[np.frombuffer(where, "<u4")] = np.frombuffer(m, "<u8")
+            full = (np.uint64(1) << found.strings.astype(np.uint64)) - np.uint64(1)
+            own = np.where(ids[found.doc] > found.least[found.entry], full[found.entry], masks[found.entry])
+            starts = np.zeros(len(segment.data) + 1, bool)
             for j in range(WIDTH):
-                starts[firsts[(own >> np.uint64(j) & np.uint64(1)).astype(bool)] + j] = True
-            sums = np.zeros(len(starts) + 1, np.int64)
+                starts[found.lo[(own >> np.uint64(j) & np.uint64(1)).astype(bool)] + j] = True
+            sums = np.zeros(len(starts) + 1, np.int32)
             np.cumsum(starts, out=sums[1:])
-            i = np.arange(len(segment.data))
+            i = np.arange(len(segment.data), dtype=np.int32)
             gone = sums[i + 1] > sums[np.maximum(i + 1 - LENGTH, 0)]
-            offs = segment.offs
             spans = np.bincount(textbuf.runs(gone, offs)[2], minlength=len(ids))
             removed = textbuf.per_doc(gone, offs)
-            kept = segment.data[~gone]
             to = offs - np.concatenate([[0], np.cumsum(removed)])
-            done.append(
-                pa.table(
-                    {
-                        "doc_id": pa.array(segment.ids, mask=segment.ids == _NO_ID),
-                        "n_bytes": pa.array(np.diff(offs)),
-                        "n_removed": pa.array(removed),
-                        "n_spans": pa.array(spans.astype(np.int64)),
-                        "kept": pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(to.astype(np.int64)), pa.py_buffer(kept)]).cast(pa.binary()),
-                    }
-                )
-            )
+            columns = {
+                "doc_id": pa.array(ids, mask=ids == _NO_ID),
+                "n_bytes": pa.array(np.diff(offs)),
+                "n_removed": pa.array(removed),
+                "n_spans": pa.array(spans.astype(np.int64)),
+                "kept": pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(to.astype(np.int64)), pa.py_buffer(segment.data[~gone])]).cast(pa.binary()),
+            }
+            done.append(pa.table(columns))
         return pa.concat_tables(done)
 
     return run
 
 
+def copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest) of the texts of LENGTH bytes or more that a smaller doc_id has as a whole."""
+    ids = stored(docs.where(F.octet_length("text") >= LENGTH).select("doc_id", F.sha2("text", 256).alias("digest")), "suffix-digests")
+    least = ids.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").select("digest", "least")
+    found = ids.join(ids_hint(stored(least, "suffix-least")), "digest").where("doc_id > least OR (doc_id IS NULL AND least IS NOT NULL)")
+    return stored(found.select("doc_id", "digest").distinct(), "suffix-copies")
+
+
 def deduplicated(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the remaining bytes) of every row."""
     spark = docs.sparkSession
     buckets = parts(docs)
     name = f"suffix_segments_{uuid.uuid4().hex}"
-    docs.select("doc_id", "text").mapInArrow(_pack(buckets), _TABLE).write.bucketBy(buckets, "segment").saveAsTable(name)
+    whole = ids_hint(copies(docs))
+    rows = docs.select("doc_id", "text")
+    same = F.sha2(rows["text"], 256).eqNullSafe(whole["digest"]) & rows["doc_id"].eqNullSafe(whole["doc_id"])
+    gone = rows.join(whole, same, "left_semi").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"))
+    rows.join(whole, same, "left_anti").mapInArrow(_pack(buckets), _TABLE).write.bucketBy(buckets, "segment").saveAsTable(name)
     packed = spark.table(name)
     owners = packed.where("bucket = -1").select("segment", "docs")
     asked = packed.where("bucket >= 0").select("segment", "bucket", "hashes")
@@ -432,7 +449,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     runs = owners.groupBy("segment").cogroup(answers.groupBy("segment")).applyInArrow(_runs(buckets), _RUN)
     masks = stored(runs.groupBy("bucket").applyInArrow(_merge, "segment string, where binary, masks binary"), "suffix-masks")
     told = answers.unionByName(masks, allowMissingColumns=True)
-    return owners.groupBy("segment").cogroup(told.groupBy("segment")).applyInArrow(_cut(buckets), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    left = owners.groupBy("segment").cogroup(told.groupBy("segment")).applyInArrow(_cut(buckets), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return left.union(gone.select("doc_id", "n_bytes", "n_bytes", F.lit(1).cast("long"), F.lit(b"")))
 
 
 def report(docs: DataFrame) -> DataFrame:
