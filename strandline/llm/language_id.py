@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm import hashed_linear as hl
 from strandline.llm import textbuf
+from strandline.llm.store import frugal
 
 #: Rows of each language that are trained on, at most, and languages, at most.
 MAX_TRAIN = 300
@@ -163,7 +164,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", out: str
                 done.append(pa.StructArray.from_arrays([pa.array(names).take(pa.array(lang)), pa.array(score), pa.array(rejected)], fields=list(kind)))
             yield pa.concat_arrays(done)
 
-    return docs.withColumn(out, run(F.col(text)))
+    return frugal(docs).withColumn(out, run(F.col(text)))
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -34,14 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import textbuf
-from strandline.llm.store import parts, stored
+from strandline.llm.store import frugal, parts, stored
 
 ORDER = 5
-MAX_STATES = 20_000
+MAX_STATES = 12_000
 END = 256
-SEGMENT_BYTES = 8 << 20
+SEGMENT_BYTES = 4 << 20
 #: Distinct n-grams that a task gathers before it hands them on.
-TASK_GRAMS = 1 << 20
+TASK_GRAMS = 1 << 19
 CHUNK = 1024
 _BITS = 9
 
@@ -89,7 +89,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
         if len(keys):
             yield give()
 
-    got = docs.select("text").mapInArrow(run, "code long, n long")
+    got = frugal(docs).select("text").mapInArrow(run, "code long, n long")
     return got.groupBy("code").agg(F.sum("n").alias("n"))
 
 
@@ -101,7 +101,7 @@ class Automaton:
         self.number = {c: i for i, c in enumerate(sorted(contexts))}
         n = len(self.number)
         self.table = np.zeros((n, END + 1), np.float32)
-        self.next = np.zeros((n, END + 1), np.int32)
+        self.next = np.zeros((n, END + 1), np.int16 if n < 1 << 15 else np.int32)
         mask = {k: (1 << _BITS * k) - 1 for k in range(ORDER)}
         for (size, code), i in self.number.items():  # shorter contexts come first
             seen = arcs.get((size, code), [])
@@ -205,7 +205,7 @@ def score(docs: DataFrame, automaton: Automaton, text: str = "text", out: str =
 _SEGMENT = "segment string, bucket int, hashes binary, counts binary, docs binary"
 
 
-def _segments(buckets: int):
+def _segments(buckets: int, automaton):
     """Rows of the packed tokens of each segment (bucket >= 0), and one of its documents (bucket -1)."""
 
     def give(held: list) -> Iterator[pa.RecordBatch]:
@@ -230,10 +230,11 @@ def _segments(buckets: int):
         held, size = [], 0
         for piece in textbuf.pieces(batches, "text"):
             data, offs = textbuf.buffers(piece.column("text"))
+            scores = automaton.value.score(data, offs)
             data = textbuf.LOWER[data]
             starts, ends, doc = textbuf.words(data, offs)
             out = np.asarray(piece.column("held"))
-            held.append({"hash": textbuf.segment_hash(textbuf.prefix(data), starts, ends), "train": ~out[doc], "n": np.bincount(doc, minlength=len(offs) - 1).astype(np.int64), "doc_id": piece.column("doc_id"), "held": out, "score": np.asarray(piece.column("score"))})
+            held.append({"hash": textbuf.segment_hash(textbuf.prefix(data), starts, ends), "train": ~out[doc], "n": np.bincount(doc, minlength=len(offs) - 1).astype(np.int64), "doc_id": piece.column("doc_id"), "held": out, "score": scores})
             size += len(data) + 64 * len(offs)
             if size >= SEGMENT_BYTES:
                 yield from give(held)
@@ -288,8 +289,7 @@ def report(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text", held.alias("held"))
     automaton = build(stored(count_grams(rows.where(~F.col("held"))), "lm-windows"))
     buckets = parts(docs)
-    scored = score(rows, automaton)
-    packed = stored(scored.mapInArrow(_segments(buckets), _SEGMENT), "lm-segments")
+    packed = stored(rows.mapInArrow(_segments(buckets, docs.sparkSession.sparkContext.broadcast(automaton)), _SEGMENT), "lm-segments")
     asked = packed.where("bucket >= 0").select("segment", "bucket", "hashes", "counts")
     answers = stored(asked.groupBy("bucket").applyInArrow(_answer, "segment string, bucket int, counts binary, tokens long, distinct long"), "lm-answers")
     total = answers.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("distinct")).first()

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm import textbuf
 from strandline.llm.components import components
-from strandline.llm.store import ids_hint, parts, stored
+from strandline.llm.store import frugal, ids_hint, parts, stored
 
 SHINGLE = 5
 SIMILARITY = 85
@@ -104,7 +104,7 @@ def sketch(docs: DataFrame) -> DataFrame:
                 ["doc_id", "n", "s1", "s2", "sig"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, sig binary")
+    return frugal(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, sig binary")
 
 
 def _keys(sig: np.ndarray) -> Iterator[np.ndarray]:

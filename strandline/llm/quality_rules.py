@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm import hashed_linear as hl
 from strandline.llm import textbuf
+from strandline.llm.store import frugal
 
 #: Labelled rows that are trained on, of each class at most.
 MAX_TRAIN = 700
@@ -182,7 +183,7 @@ def assess(docs: DataFrame, model: Model | None, text: str = "text", out: str =
                 done.append(pa.StructArray.from_arrays(list(columns.values()), list(columns)))
             yield pa.concat_arrays(done) if done else pa.array([], pa.struct([]))
 
-    return docs.withColumn(out, run(F.col(text)))
+    return frugal(docs).withColumn(out, run(F.col(text)))
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:

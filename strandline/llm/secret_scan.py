@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import textbuf
+from strandline.llm.store import frugal
 
 _parser, _const = re._parser, re._constants
 
@@ -192,7 +193,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", o
             found = [f for piece in textbuf.pieces([whole], "t") for f in find([t or "" for t in piece.column(0).to_pylist()], rules)]
             yield pa.array([[{"kind": k, "start": s, "end": e} for k, s, e in f] for f in found], kind)
 
-    return docs.withColumn(out, run(F.col(text)))
+    return frugal(docs).withColumn(out, run(F.col(text)))
 
 
 def joined(spans) -> object:

@@ -26,11 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandline.llm.store import frugal
+
 MARK = "▁"
 #: A model file of more bytes than this isn't sent to the executors.
 MAX_MODEL_BYTES = 64 << 20
 #: Words whose pieces a worker keeps.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: A character without a piece scores this much less than the worst piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -175,7 +177,7 @@ def _codec(shared) -> Codec:
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """`docs` with the piece ids of `text` in the column `out` (array of int)."""
-    spark = docs.sparkSession
+    spark = frugal(docs).sparkSession
     shared = spark.sparkContext.broadcast(PieceTable.load(model_path))
 
     @F.arrow_udf("array<int>")
@@ -194,7 +196,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "ids
 
 def decode(docs: DataFrame, model_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """`docs` with the text of the piece ids in the column `out`."""
-    spark = docs.sparkSession
+    spark = frugal(docs).sparkSession
     shared = spark.sparkContext.broadcast(PieceTable.load(model_path))
 
     @F.arrow_udf("string")

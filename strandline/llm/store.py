@@ -23,6 +23,19 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+#: Arrow batches of at most so many rows and bytes go to Python, where the session has no setting of its own.
+FRUGAL = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": (None, str(4 << 20))}
+
+
+def frugal(df: DataFrame) -> DataFrame:
+    """`df`, whose session now hands small batches to Python, so that a worker's memory doesn't depend on how long texts are."""
+    conf = df.sparkSession.conf
+    for key, (default, small) in FRUGAL.items():
+        if default is None or conf.get(key) == default:
+            conf.set(key, small)
+    return df
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written as Parquet in the shared folder and read again: its lineage is cut, and later plans read it instead of computing it anew."""
     spark = df.sparkSession

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import textbuf
-from strandline.llm.store import ids_hint, parts, stored
+from strandline.llm.store import frugal, ids_hint, parts, stored
 
 LENGTH = 50
 GRAM = 16
@@ -166,7 +166,7 @@ def _anchors(data: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
     if step < WIDTH:
         least = np.minimum(least[: len(least) - (WIDTH - step)], least[WIDTH - step :])
     place = (least & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
-    return place + first, h[place]
+    return place + first, textbuf.mix(h[place] ^ np.uint64(_BASE))  # least hashes are small: mixed again they spread over the buckets
 
 
 def lcp(a: bytes, b: bytes, known: int) -> int:
@@ -435,7 +435,7 @@ def copies(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the remaining bytes) of every row."""
     spark = docs.sparkSession
-    buckets = parts(docs)
+    buckets = parts(frugal(docs))
     name = f"suffix_segments_{uuid.uuid4().hex}"
     whole = ids_hint(copies(docs))
     rows = docs.select("doc_id", "text")

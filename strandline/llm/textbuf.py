@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes that are worked on at once; a longer text makes a piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.store import ids_hint, shared_dir, stored
+from strandline.llm.store import frugal, ids_hint, shared_dir, stored
 
 MIN_PAYLOAD = 100
 FRAME_BYTES = 256 << 10
@@ -143,7 +143,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 def assigned(pages: DataFrame) -> DataFrame:
     """page_id, url, payload, digest and refers_to (null for responses)."""
-    rows = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
+    rows = frugal(pages).select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     ids = stored(rows.select("page_id", "digest", F.octet_length("payload").alias("size")).where(F.col("size") >= MIN_PAYLOAD), "warc-digests")
     shared = ids.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").select("digest", "refers_to")
