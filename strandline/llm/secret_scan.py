@@ -19,7 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -165,13 +165,19 @@ def candidates(query: object, index: dict[str, np.ndarray], n: int) -> np.ndarra
     return reduce(lambda a, b: np.intersect1d(a, b, assume_unique=True) if len(a) else a, lists)
 
 
+@cache
+def _plans(rules: tuple[Rule, ...]) -> tuple[list[tuple], set[str]]:
+    plans = [(k, r, r.compiled(), trigram_query(r.pattern)) for k, r in enumerate(rules)]
+    return plans, set().union(*(_named(q) for *_, q in plans))
+
+
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def find(texts: list[str], rules: tuple[Rule, ...] = RULES) -> list[list[tuple[str, int, int]]]:
     """(kind, start, end) of each text's secrets by start, then the rules' order; positions are code points."""
-    plans = [(k, r, r.compiled(), trigram_query(r.pattern)) for k, r in enumerate(rules)]
-    index = postings([t.translate(_LOWER) if not t.isascii() else t.lower() for t in texts], set().union(*(_named(q) for *_, q in plans)))
+    plans, trigrams = _plans(rules)
+    index = postings([t.translate(_LOWER) if not t.isascii() else t.lower() for t in texts], trigrams)
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     for k, rule, regex, query in plans:
         for i in candidates(query, index, len(texts)):

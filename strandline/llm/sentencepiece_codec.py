@@ -32,7 +32,7 @@ MARK = "▁"
 #: A model file of more bytes than this isn't sent to the executors.
 MAX_MODEL_BYTES = 64 << 20
 #: Words whose pieces a worker keeps.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 #: A character without a piece scores this much less than the worst piece.
 UNKNOWN_PENALTY = 10.0
 

@@ -24,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 #: Arrow batches of at most so many rows and bytes go to Python, where the session has no setting of its own.
-FRUGAL = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": (None, str(4 << 20))}
+FRUGAL = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "500"), "spark.sql.execution.arrow.maxBytesPerBatch": (None, str(1 << 20))}
 
 
 def frugal(df: DataFrame) -> DataFrame:

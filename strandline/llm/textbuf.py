@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes that are worked on at once; a longer text makes a piece of its own.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 256 << 10
 
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
@@ -40,6 +40,7 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = PIECE_BY
             to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
+        pa.default_memory_pool().release_unused()
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
