@@ -4,8 +4,9 @@ An Aho-Corasick automaton over the pieces is run once over the text. At each
 position its output links give every piece that ends there, and each of them
 relaxes the best score at that position (Viterbi in one pass). Ties go to the
 longest last piece. No piece of the table has the word mark after another
-character, so no piece crosses the start of a word and the lattice splits there
-exactly; a bounded table keeps the results of words that were seen before.
+character (nor a line feed), so no piece crosses the start of a word or line and
+the lattice splits there exactly; a bounded table keeps the results of units
+that were seen before.
 
 The piece table is read from a model file once, by the driver, and sent to the
 executors (its size is checked). Characters without a piece become byte pieces.
@@ -13,22 +14,26 @@ executors (its size is checked). Characters without a piece become byte pieces.
 Edge cases: null text gives null ids and null ids give null text; an empty text
 gives no ids and the other way round; texts of any length are handled whole.
 Encoding follows the model's own normaliser settings (identity, a word mark in
-front, no white space removed), so decoding gives the text back exactly.
+front, no white space removed), so decoding gives the text back exactly; only a
+word mark that is in the text itself comes back as a space.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.store import frugal
 
 MARK = "▁"
+_LOW = float("-inf")
 #: A model file of more bytes than this isn't sent to the executors.
 MAX_MODEL_BYTES = 64 << 20
 #: Words whose pieces a worker keeps.
@@ -84,36 +89,45 @@ class Codec:
             surface.append(out)
         self.automaton.make_automaton()
         self.surface, self.unknown_score = surface, worst - UNKNOWN_PENALTY
+        self.sizes = np.array([len(s) for s in surface])
+        self.places, self.bytes = np.cumsum(self.sizes) - self.sizes, np.frombuffer(b"".join(surface), np.uint8)
+        ordinary = [p for p, _, kind in table.pieces if kind == 1]
+        self.singles = frozenset(p for p in ordinary if len(p) == 1)
+        # no piece goes on into a next word, nor over a line feed unless one has it: the lattice splits there exactly
+        line = "" if any("\n" in p for p in ordinary) else "\n"
+        self.units = re.compile(f"{MARK}+[^{MARK}{line}]*|[^{MARK}{line}]+" + ("|\n" if line else "")).findall
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.fallback = table.byte_fallback
 
     def viterbi(self, text: str) -> list[int]:
         """Ids of the best segmentation of a text in which spaces are word marks."""
         n = len(text)
-        low = float("-inf")
-        best, back = [0.0] + [low] * n, [None] * (n + 1)
-        done = 0  # up to here positions have all their candidates but the unknown one
-        unknown = self.unknown_score
-
-        def close(upto: int) -> None:
-            # a position that no piece of one character reaches is also reached by an unknown character
-            for p in range(done + 1, upto + 1):
-                if not single[p] and best[p - 1] + unknown > best[p]:
-                    best[p], back[p] = best[p - 1] + unknown, (p - 1, -1)
-
-        single = [False] * (n + 1)
-        for end, (size, score, piece) in self.automaton.iter(text):
-            end += 1
-            if end > done + 1:
-                close(end - 1)
-                done = end - 1
-            start = end - size
-            if size == 1:
-                single[end] = True
-            total = best[start] + score
-            if total > best[end]:
-                best[end], back[end] = total, (start, piece)
-        close(n)
+        best, back = [0.0] + [_LOW] * n, [None] * (n + 1)
+        if self.singles.issuperset(text):
+            for end, (size, score, piece) in self.automaton.iter(text):
+                start = end + 1 - size
+                total = best[start] + score
+                if total > best[end + 1]:
+                    best[end + 1], back[end + 1] = total, (start, piece)
+        else:
+            # a character without a piece of its own is also reached as an unknown one, once its start has its best score
+            done, singles, unknown = 0, self.singles, self.unknown_score
+
+            def close(upto: int) -> None:
+                for p in range(done + 1, upto + 1):
+                    if text[p - 1] not in singles and best[p - 1] + unknown > best[p]:
+                        best[p], back[p] = best[p - 1] + unknown, (p - 1, -1)
+
+            for end, (size, score, piece) in self.automaton.iter(text):
+                if end > done:
+                    close(end)
+                    done = end
+                start = end + 1 - size
+                total = best[start] + score
+                if total > best[end + 1]:
+                    best[end + 1], back[end + 1] = total, (start, piece)
+            close(n)
         out, at = [], n
         while at:
             start, piece = back[at]
@@ -126,11 +140,16 @@ class Codec:
             at = start
         return out[::-1]
 
-    def encode_word(self, word: str) -> bytes:
-        got = np.array(self.viterbi(word), "<i4").tobytes()
-        if len(self.known) >= CACHE_WORDS:
-            self.known.clear()
-        self.known[word] = got
+    def encode_unit(self, unit: str) -> bytes:
+        """Packed ids of a unit; the last CACHE_WORDS to twice as many units are kept."""
+        got = self.known.get(unit)
+        if got is None:
+            got = self.older.get(unit)
+            if got is None:
+                got = np.array(self.viterbi(unit), "<i4").tobytes()
+            if len(self.known) >= CACHE_WORDS:
+                self.older, self.known = self.known, {}
+            self.known[unit] = got
         return got
 
     def encode(self, text: str) -> bytes:
@@ -138,33 +157,40 @@ class Codec:
         if not text:
             return b""
         text = text.replace(" ", MARK)
-        parts = text.split(MARK)
-        if parts[0] and self.prefix or not self.prefix:
-            first, rest = parts[0], parts[1:]
-            units = [MARK + first] if self.prefix else [first] if first else []
-        else:
-            units, rest = [], parts  # the mark in front joins the text's own ones
-        marks = 0
-        for word in rest:
-            marks += 1
-            if word:
-                units.append(MARK * marks + word)
-                marks = 0
-        if marks:
-            units.append(MARK * marks)
-        known, out = self.known, []
-        for unit in units:
-            got = known.get(unit)
-            out.append(self.encode_word(unit) if got is None else got)
-        return b"".join(out)
+        units = self.units(MARK + text if self.prefix else text)
+        got = list(map(self.known.get, units))
+        if None in got:
+            got = [self.encode_unit(u) if g is None else g for u, g in zip(units, got, strict=True)]
+        return b"".join(got)
 
     def decode(self, ids: list[int]) -> str:
-        surface = self.surface
-        raw = b"".join([surface[i] for i in ids])
+        raw = b"".join([self.surface[i] for i in ids])
         if self.prefix and raw[:1] == b" ":
             raw = raw[1:]
         return raw.decode("utf-8", "replace")
 
+    def decode_all(self, arrays: pa.ListArray) -> pa.Array:
+        """The texts of all id lists; bytes are gathered for the whole batch, or by row where they aren't UTF-8."""
+        flat = arrays.flatten()
+        ids, offsets = np.asarray(flat), np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(arrays), 0)))])
+        size = self.sizes[ids]
+        at = np.repeat(self.places[ids] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        raw = self.bytes[at]
+        ends = np.concatenate([[0], np.cumsum(size)])[offsets]
+        if self.prefix:
+            full = np.flatnonzero(np.diff(ends))
+            first = ends[full][raw[ends[full]] == 0x20]
+            raw = np.delete(raw, first)
+            ends = ends - np.searchsorted(first, ends, "left")
+        valid = np.asarray(arrays.is_valid())
+        packed = pa.py_buffer(raw)
+        try:
+            str(packed.to_pybytes(), "utf-8")
+        except UnicodeDecodeError:
+            return pa.array([None if a is None else self.decode(a) for a in arrays.to_pylist()], pa.string())
+        mask = None if valid.all() else pa.py_buffer(np.packbits(valid, bitorder="little"))
+        return pa.Array.from_buffers(pa.large_string(), len(valid), [mask, pa.py_buffer(ends.astype(np.int64)), packed]).cast(pa.string())
+
 
 _codecs: dict[int, Codec] = {}
 
@@ -203,7 +229,7 @@ def decode(docs: DataFrame, model_path: str, ids: str = "ids", out: str = "decod
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(shared)
         for arrays in batches:
-            yield pa.array([None if a is None else codec.decode(a) for a in arrays.to_pylist()], pa.string())
+            yield codec.decode_all(arrays)
 
     return docs.withColumn(out, run(F.col(ids)))
 
