@@ -91,9 +91,9 @@ def proximity(postings: DataFrame, first: str, second: str, within: int) -> Data
     """(row, doc_id, pos, other) where the index has `first` at pos and `second` at most `within` words away, on either side."""
     a = postings.where(F.col("term") == first).select("row", "doc_id", "pos")
     b = postings.where(F.col("term") == second).select("row", F.col("pos").alias("other"))
-    spread = F.explode(F.array(*[F.lit(k) for k in (-1, 0, 1)]))
     left = a.withColumn("cell", F.floor(F.col("pos") / within))
-    right = b.select("row", "other", (F.floor(F.col("other") / within) + spread).alias("cell"))
+    cell = F.floor(F.col("other") / within)
+    right = b.select("row", "other", F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
     near = F.abs(F.col("pos") - F.col("other")) <= within
     return left.join(right, ["row", "cell"]).where(near & (F.col("pos") != F.col("other"))).select("row", "doc_id", "pos", "other")
 
