@@ -44,8 +44,10 @@ SYMBOLS = 64
 CHUNKS = 12
 ERRORS = 1
 MAX_DISTANCE = CHUNKS * (ERRORS + 1) - 1
-#: Differing low bits of the symbols, at most, of near classes (mean 4.8, deviation 2.1 at the limit).
-MAX_BITS = 16
+#: Differing symbols beyond which a pair that has met is not confirmed on full sets: one in 100,000 million pairs at the limit has more.
+CONFIRM_DISTANCE = 32
+#: Differing low bits of the symbols, at most, of near classes (mean 4.8, deviation 2.1 at the limit: one pair in 7 million has more).
+MAX_BITS = 18
 #: Keys in a bucket, and members of a family in a block, about.
 BUCKET_KEYS = 1 << 20
 BLOCK_MEMBERS = 512
@@ -220,7 +222,7 @@ def _confirm(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         to = np.arange(i + 1, len(n)) if alone else np.flatnonzero(side != side[i]) if side[i] == min(sides) else np.zeros(0, int)
         to = to[linked.of[to] != linked.of[i]]
         to = to[_compatible(n[i], n[to])]
-        to = to[(sig[to] != sig[i]).sum(axis=1) <= MAX_DISTANCE]
+        to = to[(sig[to] != sig[i]).sum(axis=1) <= CONFIRM_DISTANCE]
         if not len(to):
             continue
         mark[member[offs[i] : offs[i + 1]]] = True

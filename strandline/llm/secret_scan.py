@@ -248,3 +248,27 @@ def redacted(docs: DataFrame, text: str = "text", mark: str = "[REDACTED]") -> D
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size(name) > 0, F.char_length(text).cast("long")).otherwise(F.col("n_chars")))
     return out.drop(name)
+
+
+def _oracle(rules: tuple[Rule, ...] = RULES) -> str:
+    """DuckDB SQL of report(): a match's place is the summed length of what splits and matches before it."""
+    parts = []
+    for k, r in enumerate(rules):
+        pattern = r.pattern.replace("'", "''")
+        if r.ignore_case:  # (?i) would also fold letters beyond ASCII
+            words, rest = re.match(r"(\([^)]*\))(.*)", pattern, re.S).groups()
+            pattern = re.sub("[a-z]", lambda m: f"[{m[0]}{m[0].upper()}]", words) + rest
+        parts.append(
+            f"SELECT doc_id, {k} AS k, '{r.kind}' AS kind, {r.base} AS base, p0 AS s, p0 + length(m) AS e FROM ("
+            f"SELECT doc_id, m, length(regexp_extract(m, '{pattern}', {r.group})) AS size, CAST(list_sum([length(x) FOR x IN parts[1:i]]) + coalesce(list_sum([length(x) FOR x IN found[1:i - 1]]), 0) AS BIGINT) AS p0 "
+            f"FROM (SELECT doc_id, parts, found, unnest(found) AS m, unnest(range(1, len(found) + 1)) AS i FROM (SELECT doc_id, regexp_split_to_array(t, '{pattern}') AS parts, regexp_extract_all(t, '{pattern}') AS found FROM d))) WHERE size >= {r.least}"
+        )
+    join = "coalesce(string_agg(concat(kind, ':', s, ':', e), ',' ORDER BY s, k){}, '')"
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in rules if r.base)
+    return (
+        "WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), m AS (" + " UNION ALL ".join(parts) + ") "
+        f"SELECT doc_id, {counts}, sha256({join.format(' FILTER (base)')}) AS base_sha256, {join.format(' FILTER (kind IS NOT NULL)')} AS spans FROM d LEFT JOIN m USING (doc_id) GROUP BY doc_id"
+    )
+
+
+ORACLE = _oracle()
