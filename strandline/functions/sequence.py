@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from strandline.functions import col
 
@@ -97,3 +101,25 @@ def bwa_trim_length(qual, threshold: int, least: int = 35, offset: int = 33) ->
 
     places = F.when(n > least, F.sequence(n, F.lit(least + 1), F.lit(-1))).otherwise(F.array().cast("array<int>"))
     return F.when(n < least, n).otherwise(F.aggregate(places, start, step, lambda acc: acc["keep"]))
+
+
+def _common(a: str, b: str) -> str:
+    best, ends, row = 0, [], [0] * (len(b) + 1)
+    for i, x in enumerate(a, 1):
+        new = [0] * (len(b) + 1)
+        for j, y in enumerate(b, 1):
+            if x == y:
+                n = new[j] = row[j - 1] + 1
+                if n > best:
+                    best, ends = n, [i]
+                elif n == best and ends[-1] != i:
+                    ends.append(i)
+        row = new
+    return "".join(a[e - best : e] for e in ends)
+
+
+@F.arrow_udf(StringType())
+def longest_common(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """The longest common substring of two texts; of several, all places in the first text, joined. Null for a null."""
+    for a, b in pairs:
+        yield pa.array([None if x is None or y is None else _common(x, y) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.string())

@@ -407,3 +407,15 @@ def serialise_event(t):
 def filter_calls(t):
     e = t("events")
     return e.where((F.col("event_type") != "view") & (F.col("value") >= 20) & (F.col("user_id") % 3 != 0) & ~((F.col("event_type") == "click") & (F.col("value") > 80))).select("event_id", "user_id")
+
+
+@query()
+def longest_common(t):
+    """No SQL: the table of matches is filled step by step."""
+    return t("part").select("p_partkey", sequence.longest_common(F.col("p_name"), F.col("p_type")).alias("common"))
+
+
+@query()
+def quality_trim(t):
+    """No SQL: the running sum ends at its first negative value."""
+    return t("part").select("p_partkey", sequence.bwa_trim_length(F.concat("p_name", "p_type", "p_brand"), 66, least=5).alias("kept"))
