@@ -12,11 +12,18 @@ MAX_DISTANCE meet under a key. Links are confirmed on the full sets.
 Equal sets are one class from the start. The classes that meet under a key, are
 of compatible sizes and differ in MAX_BITS low bits of their symbols at most are
 near; from each group with a common key only a spanning forest of nearness goes
-on, so a group of n classes gives fewer than n rows. Near classes are families;
-their members are dealt to blocks, and each pair of blocks is a task that
-compares signatures and confirms on full sets, leaving out what is linked
-already. Keys travel packed and sorted into buckets, so no group lands in one
-task as rows, and no list of pairs is ever written.
+on, so a group of n classes gives fewer than n rows. Keys travel packed and
+sorted into buckets. Before they do, the many classes of a piece that share a
+key and a band of sizes are hung on one of them, which alone is sent on; it is
+near to all under that key whose sizes can be compatible. So a key of a third of
+all classes sends a few rows a piece to its bucket, and what is near is only
+widened. No list of pairs is ever written.
+
+Near classes are families, and links are confirmed on full sets within them.
+Members are dealt to blocks; each block is held against itself and the first
+one, one pair of blocks a task. What this connects is known; then only blocks of
+different components (or of small ones) are held against each other. A family of
+copies of one text so costs in proportion to its members, not to their square.
 
 Edge cases: a text of fewer than SHINGLE words is one shingle; null, empty and
 blank texts have none and are linked with nothing; rows that share a doc_id are
@@ -48,6 +55,9 @@ MAX_DISTANCE = CHUNKS * (ERRORS + 1) - 1
 CONFIRM_DISTANCE = 32
 #: Differing low bits of the symbols, at most, of near classes (mean 4.8, deviation 2.1 at the limit: one pair in 7 million has more).
 MAX_BITS = 18
+#: Classes of a piece, and the number of them with a common key beyond which they are hung on one.
+PIECE_ROWS = 8192
+HOT_ROWS = 32
 #: Keys in a bucket, and members of a family in a block, about.
 BUCKET_KEYS = 1 << 20
 BLOCK_MEMBERS = 512
@@ -121,27 +131,68 @@ def _keys(sig: np.ndarray) -> Iterator[np.ndarray]:
             yield key
 
 
-_PACKED = "bucket int, keys binary, reps binary, sizes binary, bits binary"
+_PACKED = "bucket int, keys binary, reps binary, lows binary, highs binary, bits binary, hot binary, edges binary"
+_FIELDS = {"keys": "<u8", "reps": "<i8", "lows": "<i8", "highs": "<i8", "bits": "<u8", "hot": "u1"}
+
+
+def _bulk(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """The batches as tables of `rows` rows."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            whole = pa.Table.from_batches(held)
+            while whole.num_rows >= rows:
+                yield whole.slice(0, rows)
+                whole = whole.slice(rows)
+            held = whole.to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _contracted(keys: np.ndarray, row: np.ndarray, sizes: np.ndarray, reps: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(places that stay, low and high size, hot, edges): of more than HOT_ROWS entries with one key and band of sizes only the first stays.
+
+    keys are sorted and row has their places in sizes and reps. A band's sizes are
+    compatible with each other; the edges are pairs of reps, each once.
+    """
+    band = (np.log(sizes[row]) / -np.log(SIMILARITY / 100)).astype(np.int64)
+    order = np.lexsort((band, keys))
+    k, v = keys[order], band[order]
+    first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (v[1:] != v[:-1])]))
+    count = np.diff(np.append(first, len(k)))
+    size = sizes[row[order]]
+    many = np.repeat(count > HOT_ROWS, count)
+    leads = np.repeat(first, count)
+    stays = np.flatnonzero(~many | (leads == np.arange(len(k))))
+    hung = np.flatnonzero(many & (leads != np.arange(len(k))))
+    low, high = (np.repeat(f.reduceat(size, first), count) for f in (np.minimum, np.maximum))
+    low, high = np.where(many, low, size), np.where(many, high, size)
+    edges = np.unique(np.stack([reps[row[order[leads[hung]]]], reps[row[order[hung]]]], axis=1), axis=0) if len(hung) else np.zeros((0, 2), np.int64)
+    # back in the order of keys, in which buckets are cut
+    return order[stays], low[stays], high[stays], many[stays].astype(np.uint8), edges
 
 
 def _packed(classes: DataFrame, buckets: int) -> DataFrame:
-    """Keys of all classes (rep, n, sig), sorted into buckets and packed."""
+    """Keys of all classes (rep, n, sig), sorted into buckets and packed; edges of hot keys go to any bucket, by their own hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 4096):
-                batch = whole.slice(at, 4096)
-                sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u2").reshape(-1, SYMBOLS)
-                bits = np.packbits(sig & 1, axis=1).view(np.uint64).ravel()
-                columns = [np.asarray(batch.column("rep")).astype("<i8"), np.asarray(batch.column("n")).astype("<i8"), bits]
-                keys = np.concatenate(list(_keys(sig)))
-                bucket = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-                order = np.argsort(keys, kind="stable")
-                to = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64), "left")
-                row = order % batch.num_rows
-                rows = [(b, keys[order[to[b] : to[b + 1]]].tobytes(), *(c[row[to[b] : to[b + 1]]].tobytes() for c in columns)) for b in range(buckets) if to[b] < to[b + 1]]
-                for first in range(0, len(rows), 128):
-                    yield pa.record_batch([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows[first : first + 128], strict=True))], ["bucket", "keys", "reps", "sizes", "bits"])
+        for piece in _bulk(batches, PIECE_ROWS):
+            sig = np.frombuffer(b"".join(piece.column("sig").to_pylist()), "<u2").reshape(-1, SYMBOLS)
+            bits = np.packbits(sig & 1, axis=1).view(np.uint64).ravel()
+            reps, sizes = np.asarray(piece.column("rep")).astype("<i8"), np.asarray(piece.column("n")).astype("<i8")
+            keys = np.concatenate(list(_keys(sig)))
+            order = np.argsort(keys, kind="stable")
+            stays, low, high, hot, edges = _contracted(keys[order], order % len(sig), sizes, reps)
+            keys, row = keys[order][stays], order[stays] % len(sig)
+            columns = [keys, reps[row], low, high, bits[row], hot]
+            to = np.searchsorted((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64), "left")
+            dealt = (textbuf.mix(edges[:, 1].astype(np.uint64)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+            edges = edges[np.argsort(dealt, kind="stable")]
+            at = np.searchsorted(np.sort(dealt), np.arange(buckets + 1, dtype=np.uint64), "left")
+            rows = [(b, *(c[to[b] : to[b + 1]].tobytes() for c in columns), edges[at[b] : at[b + 1]].tobytes()) for b in range(buckets) if to[b] < to[b + 1] or at[b] < at[b + 1]]
+            for first in range(0, len(rows), 128):
+                yield pa.record_batch([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows[first : first + 128], strict=True))], ["bucket", *_FIELDS, "edges"])
 
     return classes.select("rep", "n", "sig").mapInArrow(run, _PACKED)
 
@@ -152,24 +203,26 @@ def _compatible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _forests(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b): a spanning forest of the near classes of each group of a bucket."""
-    parts: list[list[bytes]] = [[] for _ in range(4)]
+    """(a, b): a spanning forest of the near classes of each group of a bucket, and the edges that were sent along."""
+    parts: dict[str, list[bytes]] = {name: [] for name in [*_FIELDS, "edges"]}
     for batch in batches:
-        for held, name in zip(parts, ("keys", "reps", "sizes", "bits"), strict=True):
+        for name, held in parts.items():
             held += batch.column(name).to_pylist()
-    keys, reps, sizes, bits = (np.frombuffer(b"".join(p), t) for p, t in zip(parts, ("<u8", "<i8", "<i8", "<u8"), strict=True))
+    sent = np.frombuffer(b"".join(parts.pop("edges")), "<i8").reshape(-1, 2)
+    keys, reps, lows, highs, bits, hot = (np.frombuffer(b"".join(parts[name]), t) for name, t in _FIELDS.items())
     order = np.argsort(keys, kind="stable")
     same = keys[order][1:] == keys[order][:-1]
-    shared = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
-    if not len(shared):
+    shared = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])] if len(order) else order
+    if not len(shared) and not len(sent):
         return
-    keys, reps, sizes, bits = keys[shared], reps[shared], sizes[shared], bits[shared]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    ends = np.append(first[1:], len(keys))
-    near = lambda i, j: _compatible(sizes[i], sizes[j]) & (np.bitwise_count(bits[i] ^ bits[j]) <= MAX_BITS)
+    keys, reps, lows, highs, bits, hot = (c[shared] for c in (keys, reps, lows, highs, bits, hot))
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
+    ends = np.append(first[1:], len(keys))[: len(first)]
+    meet = lambda i, j: (100 * highs[i] >= SIMILARITY * lows[j]) & (100 * highs[j] >= SIMILARITY * lows[i])
+    near = lambda i, j: meet(i, j) & (hot[i] | hot[j] | (np.bitwise_count(bits[i] ^ bits[j]) <= MAX_BITS)).astype(bool)
     twos = first[ends - first == 2]
     twos = twos[near(twos, twos + 1)]
-    left, right = [reps[twos]], [reps[twos + 1]]
+    left, right = [sent[:, 0], reps[twos]], [sent[:, 1], reps[twos + 1]]
     for s, e in zip(first[ends - first > 2], ends[ends - first > 2], strict=True):
         apart = np.arange(s, e)
         while len(apart) > 1:
@@ -190,10 +243,10 @@ def _forests(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 
 class _Linked:
-    """Union-find of a task's members."""
+    """Union-find of a task's members, which begin with the labels of what is known to be connected."""
 
-    def __init__(self, n: int):
-        self.of = np.arange(n)
+    def __init__(self, labels: list[int]):
+        self.of = np.unique(np.array(labels, np.int64), return_inverse=True)[1]
 
     def join(self, i: int, others: np.ndarray) -> None:
         roots = np.unique(np.append(self.of[others], self.of[i]))
@@ -201,11 +254,12 @@ class _Linked:
 
 
 def _confirm(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b): links among a family's two blocks that connect all members that are connected within them."""
-    names, sides, raws = [], [], []
+    """(component, many, a, b): links among a family's two blocks that, with the labels, connect all members that are connected within them."""
+    names, sides, labels, raws = [], [], [], []
     for batch in batches:
         names += batch.column("doc_id").to_pylist()
         sides += batch.column("side").to_pylist()
+        labels += batch.column("label").to_pylist()
         raws += batch.column("values").to_pylist()
     if len(names) < 2:
         return
@@ -217,7 +271,7 @@ def _confirm(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
     flat = values[member]
     for k in range(SYMBOLS):
         sig[:, k] = textbuf.mix(np.minimum.reduceat(flat * _SCALE[k] + _SHIFT[k], offs[:-1])).astype(np.uint16)
-    linked, mark, found = _Linked(len(n)), np.zeros(len(values), bool), []
+    linked, mark, found = _Linked(labels), np.zeros(len(values), bool), []
     for i in range(len(n)):
         to = np.arange(i + 1, len(n)) if alone else np.flatnonzero(side != side[i]) if side[i] == min(sides) else np.zeros(0, int)
         to = to[linked.of[to] != linked.of[i]]
@@ -235,16 +289,16 @@ def _confirm(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
             linked.join(i, once)
             found += [(names[i], names[j]) for j in once]
     if found:
-        yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
+        _, many, component = (k.as_py() for k in key)
+        of = [pa.array([component] * len(found), pa.int64()), pa.array([many] * len(found), pa.bool_())]
+        yield pa.record_batch([*of, *(pa.array(c, pa.int64()) for c in zip(*found, strict=True))], ["component", "many", "a", "b"])
 
 
-def confirmed(docs: DataFrame, families: DataFrame) -> DataFrame:
-    """Links (a, b) of the families (node, component), confirmed on full sets; they connect what all links connect."""
-    size = families.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).alias("blocks"))
-    dealt = families.join(size, "component").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
-    # block i meets every block j >= i; members of i are on side 0 and those of j on side 1
-    meets = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j"), (F.col("block") > o).cast("int").alias("side")))
-    roles = stored(dealt.select(F.col("node").alias("doc_id"), "component", F.explode(meets).alias("m")).select("doc_id", "component", "m.i", "m.j", "m.side"), "near-roles")
+_ROLE = ["task", "many", "component", "side", "label", "doc_id"]
+
+
+def _held(docs: DataFrame, roles: DataFrame) -> DataFrame:
+    """Links (component, many, a, b) of the tasks whose members are the roles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in _pieces(batches):
@@ -252,11 +306,54 @@ def confirmed(docs: DataFrame, families: DataFrame) -> DataFrame:
             raw = values.astype("<u8").tobytes()
             sets = pa.array([raw[8 * s : 8 * e] for s, e in zip(offs[:-1], offs[1:], strict=True)], pa.binary())
             full = np.flatnonzero(np.diff(offs))
-            yield pa.record_batch([*(piece.column(c) for c in ("component", "i", "j", "side")), piece.column("doc_id").cast(pa.int64()), sets], ["component", "i", "j", "side", "doc_id", "values"]).take(pa.array(full))
+            yield pa.record_batch([*(piece.column(c) for c in _ROLE[:-1]), piece.column("doc_id").cast(pa.int64()), sets], [*_ROLE, "values"]).take(pa.array(full))
+
+    roles = stored(roles.select(*_ROLE), "near-roles")
+    sets = docs.select("doc_id", "text").join(ids_hint(roles), "doc_id").select(*_ROLE, "text")
+    sets = sets.mapInArrow(run, "task string, many boolean, component long, side int, label long, doc_id long, values binary")
+    return stored(sets.groupBy("task", "many", "component").applyInArrow(_confirm, "component long, many boolean, a long, b long").where("a <> b").distinct(), "near-confirmed")
+
+
+def _apart(families: DataFrame, links: DataFrame) -> DataFrame:
+    """Roles for what the first links leave apart, in families (node, component) of many blocks.
+
+    A component of a block's members or more has blocks of its own, which needn't
+    meet each other; smaller ones share blocks. Blocks are paired by the groups
+    that they are of, so no pair within a large component is ever listed.
+    """
+    known = components(links)
+    members = families.join(known.withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    sizes = members.groupBy("component", "label").agg(F.count("*").alias("n")).withColumn("big", F.col("n") >= BLOCK_MEMBERS)
+    sizes = sizes.withColumn("g", F.when(F.col("big"), F.col("label")).otherwise(0)).drop("n")
+    members = stored(members.join(sizes, ["component", "label"]), "near-members")
+    groups = stored(members.groupBy("component", "big", "g").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).alias("blocks")), "near-blocks")
+    dealt = members.join(groups, ["component", "big", "g"]).withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), "blocks"))
+
+    a, b = (groups.select("component", *[F.col(c).alias(f"{s}_{c}") for c in ("big", "g", "blocks")]) for s in "ab")
+    small = ~F.col("a_big") & ~F.col("b_big")
+    met = a.join(b, "component").where(small | (F.struct("a_big", "a_g") < F.struct("b_big", "b_g")))
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    met = met.withColumn("i", upto("a_blocks")).withColumn("j", upto("b_blocks")).where(~small | (F.col("i") <= F.col("j")))
+    met = met.withColumn("task", F.concat_ws("/", "component", "a_big", "a_g", "i", "b_big", "b_g", "j"))
+    left = met.select("component", F.col("a_big").alias("big"), F.col("a_g").alias("g"), F.col("i").alias("block"), "task", F.lit(0).alias("side"))
+    right = met.where(~(small & (F.col("i") == F.col("j")))).select("component", F.col("b_big").alias("big"), F.col("b_g").alias("g"), F.col("j").alias("block"), "task", F.lit(1).alias("side"))
+    return dealt.join(left.union(right), ["component", "big", "g", "block"]).select("task", F.lit(True).alias("many"), "component", "side", "label", F.col("node").alias("doc_id"))
+
 
-    columns = ["component", "i", "j", "side", "doc_id"]
-    sets = docs.select("doc_id", "text").join(ids_hint(roles), "doc_id").select(*columns, "text").mapInArrow(run, "component long, i long, j long, side int, doc_id long, values binary")
-    return sets.groupBy("component", "i", "j").applyInArrow(_confirm, "a long, b long").where("a <> b").distinct()
+def confirmed(docs: DataFrame, families: DataFrame) -> DataFrame:
+    """Links (a, b) of the families (node, component), confirmed on full sets; they connect what all links connect."""
+    size = families.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).alias("blocks"))
+    dealt = families.join(size, "component").withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).withColumn("many", F.col("blocks") > 1)
+    # each block meets itself and the first one, whose members are on side 0
+    first = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda o: F.struct(F.lit(0).cast("long").alias("i"), o.alias("j"), F.lit(0).alias("side")))
+    other = F.array(F.struct(F.lit(0).cast("long").alias("i"), F.col("block").alias("j"), F.lit(1).alias("side")), F.struct(F.col("block").alias("i"), F.col("block").alias("j"), F.lit(0).alias("side")))
+    roles = dealt.select("component", "many", F.col("node").alias("doc_id"), F.col("node").alias("label"), F.explode(F.when(F.col("block") == 0, first).otherwise(other)).alias("m"))
+    found = _held(docs, roles.select(F.concat_ws("/", "component", "m.i", "m.j").alias("task"), "many", "component", "m.side", "label", "doc_id"))
+    large = stored(size.where("blocks > 1").select("component"), "near-large")
+    if not large.limit(1).count():
+        return found.select("a", "b")
+    apart = _apart(families.join(ids_hint(large), "component", "left_semi").select("node", "component"), found.where("many"))
+    return found.select("a", "b").union(_held(docs, apart).select("a", "b"))
 
 
 def groups(docs: DataFrame) -> DataFrame:

@@ -80,6 +80,25 @@ def test_large_family_links_through_the_centre(spark):
     assert got == brute.near_groups(rows)
 
 
+def test_families_of_many_blocks(spark, monkeypatch):
+    """Hot keys, blocks of few members, and parts of a family that have no link to its first block."""
+    monkeypatch.setattr(near_dedup, "BLOCK_MEMBERS", 8)
+    monkeypatch.setattr(near_dedup, "HOT_ROWS", 3)
+    rng = random.Random(4)
+    rows, heart = [], [f"{rng.choice(WORDS)}{rng.randrange(60)}" for _ in range(150)]
+    for part in range(6):
+        base = heart[: 150 - 9 * part] + [f"p{part}x{k}" for k in range(9 * part)]
+        for _ in range(25 if part < 3 else 5):
+            w = list(base)
+            for _ in range(rng.randint(1, 2)):
+                w[rng.randrange(150)] = f"new{rng.random()}"
+            rows.append((len(rows), " ".join(w)))
+    rng.shuffle(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.near_groups(rows)
+    assert len({c for _, c in got.values()}) > 1
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(10, 40)] + [(100, 50), (50, 70), (3, 3)]
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
