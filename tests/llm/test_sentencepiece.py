@@ -59,3 +59,21 @@ def test_decoding_bytes_that_are_not_text(spark, codec):
     assert codec.decode(ids) == "�A"
     got = sp.decode(spark.createDataFrame([(ids,), (None,), ([],)], "ids array<int>"), sp.default_model()).collect()
     assert [r.decoded for r in got] == ["�A", None, ""]
+
+
+def test_equals_the_library_where_scores_are_exact_in_its_floats(spark, codec):
+    """The library adds 32-bit floats: the model's scores of -1e9 cost it a precision of 64, so they are raised on its side."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    model = pb.ModelProto()
+    with open(sp.default_model(), "rb") as file:
+        model.ParseFromString(file.read())
+    model.trainer_spec.model_type = pb.TrainerSpec.UNIGRAM
+    for piece in model.pieces:
+        piece.score = max(piece.score, -40000.0)
+    library = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text IS NOT NULL").collect()]
+    words = sorted({w for t in texts for w in t.split()})
+    assert len(words) > 1000
+    assert [w for w in words if np.frombuffer(codec.encode(w), "<i4").tolist() != library.encode(w)] == []
