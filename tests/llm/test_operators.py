@@ -186,6 +186,36 @@ def test_base_scores_and_probabilities(spark, docs):
         assert r.base_score == pytest.approx(base, abs=1e-6) and r.score < 0
 
 
+def test_scores_use_every_counted_context(spark):
+    rng = random.Random(5)
+    rows = [(i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(rng.randint(0, 2500)))) for i in range(40)] + [(40, None), (41, "a"), (42, "Q~"), (43, "a")]
+    counts = {}  # the symbols seen after each context, counted over the training rows
+    for i, t in rows:
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            s = [*(t or "").encode(), lm_score.END]
+            for at, symbol in enumerate(s):
+                for k in range(min(at, lm_score.ORDER - 1) + 1):
+                    seen = counts.setdefault(tuple(s[at - k : at]), {})
+                    seen[symbol] = seen.get(symbol, 0) + 1
+    assert len(counts) > 30_000
+
+    def p(context, symbol):
+        seen = counts.get(context, {})
+        n = sum(seen.values())
+        if not context:
+            return (seen.get(symbol, 0) + 1) / (n + lm_score.END + 1)
+        return (seen.get(symbol, 0) + len(seen) * p(context[1:], symbol)) / (n + len(seen)) if seen else p(context[1:], symbol)
+
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in lm_score.report(df).collect()}
+    for i, t in rows:
+        s = (*(t or "").encode(), lm_score.END)
+        assert got[i] == pytest.approx(sum(np.log10(p(s[max(0, k - lm_score.ORDER + 1) : k], s[k])) for k in range(len(s))), rel=1e-5)
+    unseen = lm_score.report(df.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2)).collect()
+    assert unseen and all(r.score == pytest.approx(-np.log10(257) * (len((dict(rows)[r.doc_id] or "").encode()) + 1), rel=1e-5) for r in unseen)
+    assert lm_score.report(df.limit(0)).count() == 0
+
+
 def test_automaton_is_a_distribution_and_carries_its_state():
     data, offs = textbuf.buffers(pa.array(["abracadabra", "abba", ""]))
     codes, counts = np.unique(lm_score.end_windows(data, offs), return_counts=True)
