@@ -5,35 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.store import stored
+from strandline.llm.store import removed, stored
 
 
 def _checksum(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the least node that each linked node reaches. Nodes without links aren't listed.
 
     Large stars hang a node's larger neighbours on its least one, small stars its
     smaller ones; the table never has more rows than links and nodes, minima are
     combined before each exchange, and each round is stored, so a lost executor
-    costs a round at most.
+    costs a round at most. Rounds go on until nothing changes; their number grows
+    with the logarithm of a component's diameter squared.
     """
     edges = stored(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "components")
     before = _checksum(edges)
-    for _ in range(rounds):
+    while True:
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-        edges = stored(small.select("e.u", "e.v").where("u <> v").distinct(), "components")
+        last, edges = edges, stored(small.select("e.u", "e.v").where("u <> v").distinct(), "components")
         after = _checksum(edges)
+        removed(last)
         if after == before:
             break
         before = after
-    else:
-        raise RuntimeError("the components haven't settled")
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.union(edges.select("v", "v").distinct())

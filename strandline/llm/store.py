@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
-import tempfile
+import pickle
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of a few numbers up to which an id list is broadcast (about 8 bytes a row); beyond it the join shuffles.
-BROADCAST_ROWS = 1_000_000
+#: Bytes, counted over all rows as text, up to which a stored table is broadcast; beyond them the join shuffles.
+BROADCAST_BYTES = 24 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which driver and executors share; only where it is unset a local one is set, as in tests."""
+    """The folder that driver and executors share: spark.checkpoint.dir of the session, or else what setCheckpointDir was given.
+
+    There is no other: a folder of this machine's own would be another one on each executor.
+    """
     conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        return conf.rstrip("/")
-    own = getattr(spark.sparkContext, "_strandline_dir", None)
-    if own is None:
-        own = spark.sparkContext._strandline_dir = tempfile.mkdtemp(prefix="strandline-")
-    return own
+    if not conf:
+        conf = spark.sparkContext.getCheckpointDir()
+    if not conf:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return conf.rstrip("/")
 
 
 #: Arrow batches of at most so many rows and bytes go to Python, where the session has no setting of its own.
@@ -44,9 +48,36 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ids_hint(ids: DataFrame) -> DataFrame:
-    """`ids`, a stored table of a few numeric columns, marked for broadcast if it is counted to be small enough."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+def removed(table: DataFrame) -> None:
+    """Delete the files of a stored table that nothing reads any more."""
+    spark = table.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ids_hint(table: DataFrame) -> DataFrame:
+    """`table`, a stored one, marked for broadcast if all its rows are measured to be small enough together."""
+    size = table.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*table.columns)))), F.lit(0)).alias("n")).first().n
+    return F.broadcast(table) if size <= BROADCAST_BYTES else table
+
+
+def fitted(rows: DataFrame, fit: Callable[[Iterator[pa.RecordBatch]], object]) -> object:
+    """What `fit` makes of all rows, in the order of their one partition, by one task of an executor: the driver gets the model only. For samples with a bound."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.record_batch([pa.array([pickle.dumps(fit(batches))], pa.binary())], ["model"])
+
+    got = frugal(rows).mapInArrow(run, "model binary").collect()
+    return pickle.loads(got[0].model) if got else fit(iter([]))
+
+
+def free_name(columns: list[str], wanted: str) -> str:
+    """`wanted`, with underscores in front until no column has that name in any case."""
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
 
 
 def parts(df: DataFrame) -> int:

@@ -18,8 +18,10 @@ import pyarrow.compute as pc
 PIECE_BYTES = 256 << 10
 
 _BASE = 0x9E3779B97F4A7C15
-_BASE_INV = pow(_BASE, -1, 1 << 64)
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: The prime of the segment hashes, and two bases below it, drawn once.
+_P = np.uint64((1 << 31) - 1)
+_BASES = tuple(int(b) for b in np.random.default_rng(1602).integers(1 << 20, (1 << 31) - 2, 2))
+_powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -65,28 +67,53 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, 2 * len(_powers[0]), PIECE_BYTES + 4096)
-        for k, base in enumerate((_BASE, _BASE_INV)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps)
-    return _powers[0], _powers[1]
-
-
-def prefix(data: np.ndarray) -> np.ndarray:
-    """Prefix sums from which segment_hash takes the hash of any segment."""
-    up, _ = _power_tables(len(data) + 1)
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=out[1:])
-    return out
-
-
-def segment_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each segment's bytes; it doesn't depend on where the segment stands."""
-    _, down = _power_tables(len(sums))
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def _mod(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime, for x below its square."""
+    x = (x & _P) + (x >> np.uint64(31))
+    x = (x & _P) + (x >> np.uint64(31))
+    return np.where(x >= _P, x - _P, x)
+
+
+def _power_tables(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each base its powers and those of its inverse, n at least."""
+    if not _powers or len(_powers[0][0]) < n:
+        size = max(n, PIECE_BYTES + 4096, 2 * len(_powers[0][0]) if _powers else 0)
+        _powers.clear()
+        for base in _BASES:
+            both = []
+            for b in (base, pow(base, -1, int(_P))):
+                out = np.ones(size, np.uint64)
+                done = 1
+                while done < size:
+                    out[done : 2 * done] = _mod(out[: min(done, size - done)] * np.uint64(pow(b, done, int(_P))))
+                    done *= 2
+                both.append(out)
+            _powers.append(tuple(both))
+    return _powers
+
+
+def prefix(data: np.ndarray) -> list[np.ndarray]:
+    """Prefix sums, for each base, from which segment_hash takes the hash of any segment."""
+    sums, values = [], data.astype(np.uint64)
+    values += np.uint64(1)
+    for up, _ in _power_tables(len(data) + 1):
+        terms = values * up[: len(data)]  # below 2^40, so that 2^23 of them can be added up as they are
+        if len(data) >> 23:
+            terms = (terms & _P) + (terms >> np.uint64(31))
+        out = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(terms, out=out[1:])
+        sums.append(out)
+    return sums
+
+
+def segment_hash(sums: list[np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each segment's bytes; it doesn't depend on where the segment stands.
+
+    Two polynomials modulo a prime, with bases that no text was made for: two given
+    segments of n bytes get one hash with a chance of at most (n / 2^31)^2.
+    """
+    a, b = (_mod(_mod((s[ends] - s[starts]) % _P) * down[starts]) for s, (_, down) in zip(sums, _power_tables(len(sums[0])), strict=True))
+    return mix(mix(a << np.uint64(31) | b) + (ends - starts).astype(np.uint64))
 
 
 def runs(inside: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
