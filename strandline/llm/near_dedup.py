@@ -1,17 +1,18 @@
 """Near-duplicate documents: MinHash signatures joined by Hamming distance over multiple indexes.
 
 Each document's set of SHINGLE-word shingles gets a signature of SYMBOLS b-bit
-minima. Two sets with a similarity of SIMILARITY percent differ in a symbol with
-probability 1 - SIMILARITY/100; MAX_DISTANCE is about 4.7 standard deviations
-above the mean. The signature is split into CHUNKS: by the pigeonhole principle,
-two signatures that differ in at most MAX_DISTANCE symbols have a chunk with at
-most ERRORS = MAX_DISTANCE // CHUNKS (one) error, so the index of each chunk
-holds it once for every place of that error, left out. All pairs within
-MAX_DISTANCE meet under a key. Links are confirmed on the full sets.
-
-Equal sets are one class from the start. The classes that meet under a key, are
-of compatible sizes and differ in MAX_BITS low bits of their symbols at most are
-near; from each group with a common key only a spanning forest of nearness goes
+minima. Two sets of a given similarity differ in a symbol with a probability of
+one less it. The signature is split into chunks: by the pigeonhole principle, two
+signatures that differ in at most `distance` = 2 * chunks - 1 symbols have a chunk
+with at most one error, so the index of each chunk holds it once for every place
+of that error, left out. All pairs within the distance meet under a key, and so do
+nearly all others: there are as many chunks as it takes for a pair at the limit of
+similarity to meet under none with a chance of less than MISSED. Links are
+confirmed on the full sets of words, not on hashes.
+
+Equal sets (by a 128-bit sum of hashes) are one class from the start. The classes
+that meet under a key, are of compatible sizes and can be within the distance, by
+two bits of each symbol, are near; from each group with a common key only a spanning forest of nearness goes
 on, so a group of n classes gives fewer than n rows. Keys travel packed and
 sorted into buckets. Before they do, the many classes of a piece that share a
 key and a band of sizes are hung on one of them, which alone is sent on; it is
@@ -28,7 +29,9 @@ copies of one text so costs in proportion to its members, not to their square.
 Edge cases: a text of fewer than SHINGLE words is one shingle; null, empty and
 blank texts have none and are linked with nothing; rows that share a doc_id are
 one node; rows with a null doc_id are linked with nothing and kept; an empty
-table gives no rows; other columns aren't read.
+table gives no rows; texts are read whole, whatever their length; a group's least
+doc_id stays, and of rows that share it that with the least text, then the least
+of its other columns as JSON; columns of any name stay as they are.
 """
 
 from __future__ import annotations
@@ -48,13 +51,8 @@ from strandline.llm.store import frugal, ids_hint, parts, stored
 SHINGLE = 5
 SIMILARITY = 85
 SYMBOLS = 64
-CHUNKS = 12
-ERRORS = 1
-MAX_DISTANCE = CHUNKS * (ERRORS + 1) - 1
-#: Differing symbols beyond which a pair that has met is not confirmed on full sets: one in 100,000 million pairs at the limit has more.
-CONFIRM_DISTANCE = 32
-#: Differing low bits of the symbols, at most, of near classes (mean 4.8, deviation 2.1 at the limit: one pair in 7 million has more).
-MAX_BITS = 18
+#: Chance with which a pair just at the limit of similarity may meet under no key.
+MISSED = 1e-8
 #: Classes of a piece, and the number of them with a common key beyond which they are hung on one.
 PIECE_ROWS = 8192
 HOT_ROWS = 32
@@ -65,7 +63,28 @@ BLOCK_MEMBERS = 512
 _rng = np.random.default_rng(20240229)
 _SCALE = _rng.integers(0, 1 << 63, SYMBOLS, np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFT = _rng.integers(0, 1 << 63, SYMBOLS, np.uint64)
-_EDGES = np.cumsum([0] + [len(c) for c in np.array_split(np.arange(SYMBOLS), CHUNKS)])
+_ODD = np.uint64(0x5555555555555555)
+#: Cells by which an upper bound of what two sets have in common is counted.
+_CELLS = 256
+
+
+class Limit:
+    """A similarity in percent, and the chunks and the signature distance that go with it."""
+
+    def __init__(self, similarity: int = SIMILARITY):
+        self.similarity, differ = similarity, 1 - similarity / 100
+        for chunks in range(1, SYMBOLS // 2 + 1):
+            sizes = [len(c) for c in np.array_split(np.arange(SYMBOLS), chunks)]
+            met = [(1 - differ) ** n + n * differ * (1 - differ) ** (n - 1) for n in sizes]
+            if math.prod(1 - m for m in met) < MISSED:
+                break
+        else:
+            raise ValueError(f"{SYMBOLS} symbols are too few for a similarity of {similarity}")
+        self.chunks, self.distance, self.edges = chunks, 2 * chunks - 1, np.cumsum([0, *sizes])
+
+    def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether sets of these sizes can be similar enough."""
+        return 100 * np.minimum(a, b) >= self.similarity * np.maximum(a, b)
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -119,20 +138,20 @@ def sketch(docs: DataFrame) -> DataFrame:
     return frugal(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, sig binary")
 
 
-def _keys(sig: np.ndarray) -> Iterator[np.ndarray]:
+def _keys(sig: np.ndarray, limit: Limit) -> Iterator[np.ndarray]:
     """For each chunk and place of an error: the keys of all signatures."""
     wide = sig.astype(np.uint64)
-    for c in range(CHUNKS):
-        for out in range(_EDGES[c], _EDGES[c + 1]):
+    for first, last in zip(limit.edges, limit.edges[1:], strict=False):
+        for out in range(first, last):
             key = np.full(len(sig), out + 1, np.uint64)
-            for k in range(_EDGES[c], _EDGES[c + 1]):
+            for k in range(first, last):
                 if k != out:
                     key = textbuf.mix(key * np.uint64(0x9E3779B97F4A7C15) + wide[:, k] + np.uint64(1))
             yield key
 
 
-_PACKED = "bucket int, keys binary, reps binary, lows binary, highs binary, bits binary, hot binary, edges binary"
-_FIELDS = {"keys": "<u8", "reps": "<i8", "lows": "<i8", "highs": "<i8", "bits": "<u8", "hot": "u1"}
+_PACKED = "bucket int, keys binary, reps binary, lows binary, highs binary, bits0 binary, bits1 binary, hot binary, edges binary"
+_FIELDS = {"keys": "<u8", "reps": "<i8", "lows": "<i8", "highs": "<i8", "bits0": "<u8", "bits1": "<u8", "hot": "u1"}
 
 
 def _bulk(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
@@ -150,13 +169,13 @@ def _bulk(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _contracted(keys: np.ndarray, row: np.ndarray, sizes: np.ndarray, reps: np.ndarray) -> tuple[np.ndarray, ...]:
+def _contracted(keys: np.ndarray, row: np.ndarray, sizes: np.ndarray, reps: np.ndarray, limit: Limit) -> tuple[np.ndarray, ...]:
     """(places that stay, low and high size, hot, edges): of more than HOT_ROWS entries with one key and band of sizes only the first stays.
 
     keys are sorted and row has their places in sizes and reps. A band's sizes are
     compatible with each other; the edges are pairs of reps, each once.
     """
-    band = (np.log(sizes[row]) / -np.log(SIMILARITY / 100)).astype(np.int64)
+    band = (np.log(sizes[row]) / -np.log(limit.similarity / 100)).astype(np.int64)
     order = np.lexsort((band, keys))
     k, v = keys[order], band[order]
     first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (v[1:] != v[:-1])]))
@@ -173,19 +192,19 @@ def _contracted(keys: np.ndarray, row: np.ndarray, sizes: np.ndarray, reps: np.n
     return order[stays], low[stays], high[stays], many[stays].astype(np.uint8), edges
 
 
-def _packed(classes: DataFrame, buckets: int) -> DataFrame:
+def _packed(classes: DataFrame, buckets: int, limit: Limit) -> DataFrame:
     """Keys of all classes (rep, n, sig), sorted into buckets and packed; edges of hot keys go to any bucket, by their own hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in _bulk(batches, PIECE_ROWS):
             sig = np.frombuffer(b"".join(piece.column("sig").to_pylist()), "<u2").reshape(-1, SYMBOLS)
-            bits = np.packbits(sig & 1, axis=1).view(np.uint64).ravel()
+            bits = np.packbits(np.stack([sig & 1, sig >> 1 & 1], axis=2).astype(np.uint8).reshape(len(sig), -1), axis=1).view(np.uint64)
             reps, sizes = np.asarray(piece.column("rep")).astype("<i8"), np.asarray(piece.column("n")).astype("<i8")
-            keys = np.concatenate(list(_keys(sig)))
+            keys = np.concatenate(list(_keys(sig, limit)))
             order = np.argsort(keys, kind="stable")
-            stays, low, high, hot, edges = _contracted(keys[order], order % len(sig), sizes, reps)
+            stays, low, high, hot, edges = _contracted(keys[order], order % len(sig), sizes, reps, limit)
             keys, row = keys[order][stays], order[stays] % len(sig)
-            columns = [keys, reps[row], low, high, bits[row], hot]
+            columns = [keys, reps[row], low, high, bits[row, 0], bits[row, 1], hot]
             to = np.searchsorted((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64), "left")
             dealt = (textbuf.mix(edges[:, 1].astype(np.uint64)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
             edges = edges[np.argsort(dealt, kind="stable")]
@@ -197,29 +216,26 @@ def _packed(classes: DataFrame, buckets: int) -> DataFrame:
     return classes.select("rep", "n", "sig").mapInArrow(run, _PACKED)
 
 
-def _compatible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether sets of these sizes can be similar enough."""
-    return 100 * np.minimum(a, b) >= SIMILARITY * np.maximum(a, b)
-
-
-def _forests(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _forests(limit: Limit, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b): a spanning forest of the near classes of each group of a bucket, and the edges that were sent along."""
     parts: dict[str, list[bytes]] = {name: [] for name in [*_FIELDS, "edges"]}
     for batch in batches:
         for name, held in parts.items():
             held += batch.column(name).to_pylist()
     sent = np.frombuffer(b"".join(parts.pop("edges")), "<i8").reshape(-1, 2)
-    keys, reps, lows, highs, bits, hot = (np.frombuffer(b"".join(parts[name]), t) for name, t in _FIELDS.items())
+    keys, reps, lows, highs, bits, more, hot = (np.frombuffer(b"".join(parts[name]), t) for name, t in _FIELDS.items())
     order = np.argsort(keys, kind="stable")
     same = keys[order][1:] == keys[order][:-1]
     shared = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])] if len(order) else order
     if not len(shared) and not len(sent):
         return
-    keys, reps, lows, highs, bits, hot = (c[shared] for c in (keys, reps, lows, highs, bits, hot))
+    keys, reps, lows, highs, bits, more, hot = (c[shared] for c in (keys, reps, lows, highs, bits, more, hot))
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
     ends = np.append(first[1:], len(keys))[: len(first)]
-    meet = lambda i, j: (100 * highs[i] >= SIMILARITY * lows[j]) & (100 * highs[j] >= SIMILARITY * lows[i])
-    near = lambda i, j: meet(i, j) & (hot[i] | hot[j] | (np.bitwise_count(bits[i] ^ bits[j]) <= MAX_BITS)).astype(bool)
+    meet = lambda i, j: (100 * highs[i] >= limit.similarity * lows[j]) & (100 * highs[j] >= limit.similarity * lows[i])
+    differ = lambda x: np.bitwise_count((x | x >> np.uint64(1)) & _ODD)
+    within = lambda i, j: differ(bits[i] ^ bits[j]) + differ(more[i] ^ more[j]) <= limit.distance
+    near = lambda i, j: meet(i, j) & (hot[i].astype(bool) | hot[j].astype(bool) | within(i, j))
     twos = first[ends - first == 2]
     twos = twos[near(twos, twos + 1)]
     left, right = [sent[:, 0], reps[twos]], [sent[:, 1], reps[twos + 1]]
@@ -253,37 +269,60 @@ class _Linked:
         self.of[np.isin(self.of, roots)] = roots[0]
 
 
-def _confirm(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _exact_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(shingle numbers, sorted and distinct within each text; offsets): equal numbers are equal shingles, word by word."""
+    number: dict[bytes, int] = {}
+    words = [t.split() for t in texts]  # at the same characters as textbuf.SPACE
+    ids = np.array([number.setdefault(w, len(number)) for own in words for w in own], np.int64)
+    n = np.array([len(own) for own in words])
+    offs = np.concatenate([[0], np.cumsum(n)])
+
+    def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.unique(a << 32 | b, return_inverse=True)[1] if len(a) else a
+
+    two = joined(ids[:-1], ids[1:])
+    four = joined(two[:-2], two[2:])
+    five = joined(four[:-1], ids[SHINGLE - 1 :])
+    doc = np.repeat(np.arange(len(texts)), n)
+    inside = doc[: len(five)] == doc[SHINGLE - 1 :] if len(five) else np.zeros(0, bool)
+    short: dict[tuple, int] = {}
+    few = [(i, short.setdefault(tuple(own), len(short))) for i, own in enumerate(words) if 0 < len(own) < SHINGLE]
+    top = int(five.max(initial=-1)) + 1
+    key = np.concatenate([doc[: len(five)][inside] << 32 | five[inside], np.array([i << 32 | top + k for i, k in few], np.int64)])
+    key = np.unique(key)
+    return key & 0xFFFFFFFF, np.searchsorted(key >> 32, np.arange(len(offs)), "left")
+
+
+def _confirm(limit: Limit, key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(component, many, a, b): links among a family's two blocks that, with the labels, connect all members that are connected within them."""
-    names, sides, labels, raws = [], [], [], []
+    names, sides, labels, texts = [], [], [], []
     for batch in batches:
         names += batch.column("doc_id").to_pylist()
         sides += batch.column("side").to_pylist()
         labels += batch.column("label").to_pylist()
-        raws += batch.column("values").to_pylist()
+        texts += [t.as_buffer().to_pybytes().translate(textbuf.LOWER.tobytes()) for t in batch.column("text")]
     if len(names) < 2:
         return
     side, alone = np.array(sides), len(set(sides)) == 1
-    values, member = np.unique(np.concatenate([np.frombuffer(r, "<u8") for r in raws]), return_inverse=True)
-    n = np.array([len(r) // 8 for r in raws])
-    offs = np.concatenate([[0], np.cumsum(n)])
-    sig = np.zeros((len(n), SYMBOLS), np.uint16)
-    flat = values[member]
-    for k in range(SYMBOLS):
-        sig[:, k] = textbuf.mix(np.minimum.reduceat(flat * _SCALE[k] + _SHIFT[k], offs[:-1])).astype(np.uint16)
-    linked, mark, found = _Linked(labels), np.zeros(len(values), bool), []
+    member, offs = _exact_sets(texts)
+    n = np.diff(offs)
+    counts = np.zeros((len(n), _CELLS), np.int32)
+    np.add.at(counts, (np.repeat(np.arange(len(n)), n), member % _CELLS), 1)
+    linked, mark, found = _Linked(labels), np.zeros(int(member.max(initial=0)) + 1, bool), []
     for i in range(len(n)):
         to = np.arange(i + 1, len(n)) if alone else np.flatnonzero(side != side[i]) if side[i] == min(sides) else np.zeros(0, int)
         to = to[linked.of[to] != linked.of[i]]
-        to = to[_compatible(n[i], n[to])]
-        to = to[(sig[to] != sig[i]).sum(axis=1) <= CONFIRM_DISTANCE]
+        to = to[limit.compatible(n[i], n[to])]
+        # no more can be in common than the cells allow
+        most = np.minimum(counts[to], counts[i]).sum(axis=1)
+        to = to[100 * most >= limit.similarity * (n[i] + n[to] - most)]
         if not len(to):
             continue
         mark[member[offs[i] : offs[i + 1]]] = True
         at = np.repeat(offs[to] - np.cumsum(n[to]) + n[to], n[to]) + np.arange(n[to].sum())
         both = np.add.reduceat(mark[member[at]].astype(np.int64), np.cumsum(n[to]) - n[to])
         mark[member[offs[i] : offs[i + 1]]] = False
-        to = to[100 * both >= SIMILARITY * (n[i] + n[to] - both)]
+        to = to[100 * both >= limit.similarity * (n[i] + n[to] - both)]
         if len(to):
             once = to[np.unique(linked.of[to], return_index=True)[1]]
             linked.join(i, once)
@@ -297,21 +336,16 @@ def _confirm(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 _ROLE = ["task", "many", "component", "side", "label", "doc_id"]
 
 
-def _held(docs: DataFrame, roles: DataFrame) -> DataFrame:
-    """Links (component, many, a, b) of the tasks whose members are the roles."""
+def _held(docs: DataFrame, roles: DataFrame, limit: Limit) -> DataFrame:
+    """Links (component, many, a, b) of the tasks whose members are the roles; a row without words has no part in them."""
+    roles = stored(roles.select(*_ROLE), "near-roles")
+    worded = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    members = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(worded).join(ids_hint(roles), "doc_id").select(*_ROLE, "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in _pieces(batches):
-            values, offs = shingle_sets(*textbuf.buffers(piece.column("text")))
-            raw = values.astype("<u8").tobytes()
-            sets = pa.array([raw[8 * s : 8 * e] for s, e in zip(offs[:-1], offs[1:], strict=True)], pa.binary())
-            full = np.flatnonzero(np.diff(offs))
-            yield pa.record_batch([*(piece.column(c) for c in _ROLE[:-1]), piece.column("doc_id").cast(pa.int64()), sets], [*_ROLE, "values"]).take(pa.array(full))
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _confirm(limit, key, batches)
 
-    roles = stored(roles.select(*_ROLE), "near-roles")
-    sets = docs.select("doc_id", "text").join(ids_hint(roles), "doc_id").select(*_ROLE, "text")
-    sets = sets.mapInArrow(run, "task string, many boolean, component long, side int, label long, doc_id long, values binary")
-    return stored(sets.groupBy("task", "many", "component").applyInArrow(_confirm, "component long, many boolean, a long, b long").where("a <> b").distinct(), "near-confirmed")
+    return stored(members.groupBy("task", "many", "component").applyInArrow(run, "component long, many boolean, a long, b long").where("a <> b").distinct(), "near-confirmed")
 
 
 def _apart(families: DataFrame, links: DataFrame) -> DataFrame:
@@ -340,7 +374,7 @@ def _apart(families: DataFrame, links: DataFrame) -> DataFrame:
     return dealt.join(left.union(right), ["component", "big", "g", "block"]).select("task", F.lit(True).alias("many"), "component", "side", "label", F.col("node").alias("doc_id"))
 
 
-def confirmed(docs: DataFrame, families: DataFrame) -> DataFrame:
+def confirmed(docs: DataFrame, families: DataFrame, limit: Limit) -> DataFrame:
     """Links (a, b) of the families (node, component), confirmed on full sets; they connect what all links connect."""
     size = families.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).alias("blocks"))
     dealt = families.join(size, "component").withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).withColumn("many", F.col("blocks") > 1)
@@ -348,22 +382,27 @@ def confirmed(docs: DataFrame, families: DataFrame) -> DataFrame:
     first = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda o: F.struct(F.lit(0).cast("long").alias("i"), o.alias("j"), F.lit(0).alias("side")))
     other = F.array(F.struct(F.lit(0).cast("long").alias("i"), F.col("block").alias("j"), F.lit(1).alias("side")), F.struct(F.col("block").alias("i"), F.col("block").alias("j"), F.lit(0).alias("side")))
     roles = dealt.select("component", "many", F.col("node").alias("doc_id"), F.col("node").alias("label"), F.explode(F.when(F.col("block") == 0, first).otherwise(other)).alias("m"))
-    found = _held(docs, roles.select(F.concat_ws("/", "component", "m.i", "m.j").alias("task"), "many", "component", "m.side", "label", "doc_id"))
+    found = _held(docs, roles.select(F.concat_ws("/", "component", "m.i", "m.j").alias("task"), "many", "component", "m.side", "label", "doc_id"), limit)
     large = stored(size.where("blocks > 1").select("component"), "near-large")
     if not large.limit(1).count():
         return found.select("a", "b")
     apart = _apart(families.join(ids_hint(large), "component", "left_semi").select("node", "component"), found.where("many"))
-    return found.select("a", "b").union(_held(docs, apart).select("a", "b"))
+    return found.select("a", "b").union(_held(docs, apart, limit).select("a", "b"))
+
+
+def groups(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row; linked are sets that have `similarity` percent of their union in common."""
+    limit = Limit(similarity)
 
+    def forests(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _forests(limit, batches)
 
-def groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
     marks = stored(sketch(docs), "near-sketch")
     own = marks.where("n > 0 AND doc_id IS NOT NULL")
     classes = stored(own.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "near-classes")
     buckets = max(parts(docs), math.ceil(classes.count() * SYMBOLS / BUCKET_KEYS))
-    near = stored(_packed(classes, buckets).groupBy("bucket").applyInArrow(_forests, "a long, b long"), "near-forest")
-    links = stored(confirmed(docs, stored(components(near), "near-families")), "near-links")
+    near = stored(_packed(classes, buckets, limit).groupBy("bucket").applyInArrow(forests, "a long, b long"), "near-forest")
+    links = stored(confirmed(docs, stored(components(near), "near-families"), limit), "near-links")
 
     # a class is all rows of one set; a doc_id with several texts ties their classes together
     ties = own.select("doc_id", "s1", "s2", "n").join(classes.select("s1", "s2", "n", "rep"), ["s1", "s2", "n"])
@@ -380,12 +419,14 @@ def report(docs: DataFrame) -> DataFrame:
     return groups(docs).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def kept(docs: DataFrame) -> DataFrame:
+def kept(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """One document of each group: the rows of `docs` whose doc_id is their component's; of repeated doc_ids one row."""
-    marks = stored(groups(docs), "near-groups")
+    marks = stored(groups(docs, similarity), "near-groups")
     out = stored(marks.where("doc_id <> component_id").select("doc_id").distinct(), "near-out")
     rows = docs.join(ids_hint(out), "doc_id", "left_anti").select(*docs.columns)
     again = stored(marks.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "near-again")
     if not again.limit(1).count():
         return rows
-    return rows.join(ids_hint(again), "doc_id", "left_anti").select(*docs.columns).unionByName(rows.join(ids_hint(again), "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    whole = F.struct(*[F.col(c) for c in docs.columns])
+    one = rows.join(ids_hint(again), "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(whole, F.struct(F.col("text"), F.to_json(whole))).alias("_row")).select("_row.*")
+    return rows.join(ids_hint(again), "doc_id", "left_anti").select(*docs.columns).unionByName(one)

@@ -8,7 +8,7 @@ LOWER = {c: c + 32 for c in range(65, 91)}
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def near_groups(rows):
+def near_groups(rows, similarity=85):
     """{doc_id: (shingles, component)}; rows: (doc_id, text)."""
     sets = {}
     for i, t in rows:
@@ -24,7 +24,9 @@ def near_groups(rows):
     ids = sorted(i for i in sets if sets[i])
     for n, i in enumerate(ids):
         for j in ids[:n]:
-            if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+            if 100 * min(len(sets[i]), len(sets[j])) < similarity * max(len(sets[i]), len(sets[j])):
+                continue
+            if 100 * len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
                 a, b = root(i), root(j)
                 of[max(a, b)] = min(a, b)
     return {i: (len(sets[i]), root(i)) for i in sets}
