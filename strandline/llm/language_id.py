@@ -3,17 +3,23 @@
 Byte n-grams of the ASCII-lower-cased text are hashed to rows of an embedding
 table; a text's vector is the mean of its n-grams' rows, and a linear softmax
 over it gives the languages' probabilities. Both are trained by stochastic
-gradient descent in numpy on a bounded sample (MAX_TRAIN rows of each language,
-chosen by a hash of doc_id). Temperature and the rejection threshold are set on
-a held-out part of that sample: a prediction whose calibrated probability is
-below the threshold that keeps ACCEPT of the right ones is marked rejected.
+gradient descent in numpy, by one task of an executor, on a bounded sample
+(MAX_TRAIN rows of each language there is, chosen by a hash of doc_id). The
+sample's texts are read whole, cut into at most PARTS parts. Temperature and the
+rejection threshold are set on a held-out part of that sample: a prediction whose
+calibrated probability is below the threshold that keeps ACCEPT of the right ones
+is marked rejected.
 
 For scoring, embedding times softmax is one table of a score per n-gram and
 language, so each Arrow batch needs look-ups and means only.
 
 Edge cases: a null or empty text, or one without a letter, is `und` with score
 0; rows without lang aren't trained on; with one language all texts with a
-letter are given it; without any, all are `und`; repeated rows are each scored.
+letter are given it; without any, all are `und`; an empty table gives no rows;
+repeated rows are each scored, and a repeated doc_id is one of the sample's rows;
+of languages with equal probabilities the first by name is predicted; texts are
+scored whole, whatever their length; columns other than doc_id, text and lang
+aren't read.
 """
 
 from __future__ import annotations
@@ -22,21 +28,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.llm import hashed_linear as hl
 from strandline.llm import textbuf
-from strandline.llm.store import frugal
+from strandline.llm.store import fitted, frugal, ids_hint, stored
 
-#: Rows of each language that are trained on, at most, and languages, at most.
+#: Rows of each language that are trained on, at most.
 MAX_TRAIN = 300
-MAX_LANGUAGES = 200
 WIDTHS = (2, 3, 4)
 BITS = 14
 DIMENSIONS = 16
-#: Training texts are cut into passages of about so many bytes, of which each text gives so many at most.
-PASSAGE, PASSAGES = 200, 6
+#: A training text is cut into so many equal parts at most, of so many characters at least.
+PARTS, PART = 6, 200
 ACCEPT = 0.99
 UNDETERMINED = "und"
 
@@ -66,51 +71,81 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def _passages(text: str) -> list[str]:
-    if len(text) <= PASSAGE:
-        return [text]
-    step = max(PASSAGE, len(text) // PASSAGES)
-    return [text[i : i + PASSAGE] for i in range(0, len(text) - PASSAGE + 1, step)]
+def _parts(text: str) -> list[str]:
+    """The whole text in equal parts."""
+    n = max(1, min(PARTS, len(text) // PART))
+    return [text[len(text) * i // n : len(text) * (i + 1) // n] for i in range(n)]
 
 
-def fit(texts: list[str], langs: list[str], epochs: int = 6, rate: float = 20.0, batch: int = 32, seed: int = 7) -> Model | None:
-    languages = sorted(set(langs))
+def _counted(cells: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(cell, share of its text's n-grams, offsets) of the distinct cells of each text."""
+    doc = np.repeat(np.arange(len(to) - 1, dtype=np.int64), np.diff(to))
+    key, count = np.unique(doc << BITS | cells, return_counts=True)
+    d = key >> BITS
+    return (key & ((1 << BITS) - 1)).astype(np.int32), (count / np.maximum(np.diff(to), 1)[d]).astype(np.float32), np.searchsorted(d, np.arange(len(to)), "left")
+
+
+def fit(batches: Iterator[pa.RecordBatch], epochs: int = 6, rate: float = 20.0, batch: int = 32, seed: int = 7) -> Model | None:
+    """Train on the batches' columns text and lang; None without any row."""
+    owner, names, counted = [], [], [[] for _ in WIDTHS]
+    for piece in textbuf.pieces(batches, "text"):
+        parts = [_parts(t) for t in piece.column("text").to_pylist()]
+        owner += [len(names) + i for i, own in enumerate(parts) for _ in own]
+        names += piece.column("lang").to_pylist()
+        for own, (c, to) in zip(counted, cells(*textbuf.buffers(pa.array([p for some in parts for p in some], pa.large_string()))), strict=True):
+            own.append(_counted(c, to))
+    languages = sorted(set(names))
     if not languages:
         return None
     rng = np.random.default_rng(seed)
-    parts = [(p, languages.index(lang), i) for i, (t, lang) in enumerate(zip(texts, langs, strict=True)) for p in _passages(t)]
-    y, owner = np.array([p[1] for p in parts]), np.array([p[2] for p in parts])
-    data, offs = textbuf.buffers(pa.array([p[0] for p in parts], pa.large_string()))
-    grids, k = cells(data, offs), len(languages)
+    owner, k = np.array(owner), len(languages)
+    y = np.searchsorted(languages, names)[owner]
+    grids = []
+    for own in counted:
+        shift = np.cumsum([0] + [len(c) for c, _, _ in own[:-1]])
+        grids.append((np.concatenate([c for c, _, _ in own]), np.concatenate([v for _, v, _ in own]), np.concatenate([[0], *(to[1:] + s for (_, _, to), s in zip(own, shift, strict=True))])))
     held = owner % 5 == 4
     embedding = [rng.normal(0, 0.1, (1 << BITS, DIMENSIONS)) for _ in WIDTHS]
     linear, bias = rng.normal(0, 0.3, (DIMENSIONS, k)), np.zeros(k)
     share = 1 / np.maximum(np.bincount(y, minlength=k), 1)
     share *= len(y) / share[y].sum()
+
+    def gather(rows: np.ndarray, grid: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(cell, share, place in rows) of all cells of the rows."""
+        c, v, to = grid
+        n = to[rows + 1] - to[rows]
+        at = np.repeat(to[rows] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return c[at], v[at].astype(float), np.repeat(np.arange(len(rows)), n)
+
     order = np.flatnonzero(~held)
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
         rng.shuffle(order)
-        for at in range(0, len(order), batch):
-            rows = order[at : at + batch]
+        for first in range(0, len(order), batch):
+            rows = order[first : first + batch]
             hidden, used = np.zeros((len(rows), DIMENSIONS)), []
-            for table, (c, to) in zip(embedding, grids, strict=True):
-                n = to[rows + 1] - to[rows]
-                doc = np.repeat(np.arange(len(rows)), n)
-                own = c[np.repeat(to[rows] - np.cumsum(n) + n, n) + np.arange(n.sum())]
-                used.append((own, doc, n))
-                np.add.at(hidden, doc, table[own] / np.maximum(n, 1)[doc][:, None])
+            for table, grid in zip(embedding, grids, strict=True):
+                used.append(gather(rows, grid))
+                c, v, doc = used[-1]
+                full = np.flatnonzero(np.bincount(doc, minlength=len(rows)))
+                if len(full):
+                    hidden[full] += np.add.reduceat(table[c] * v[:, None], np.searchsorted(doc, full, "left"))
             err = _softmax(hidden @ linear + bias)
             err[np.arange(len(rows)), y[rows]] -= 1
             err *= share[y[rows]][:, None] / len(rows)
             back = err @ linear.T
             linear -= step * 0.1 * hidden.T @ err
             bias -= step * 0.1 * err.sum(axis=0)
-            for table, (own, doc, n) in zip(embedding, used, strict=True):
-                np.add.at(table, own, -step * back[doc] / np.maximum(n, 1)[doc][:, None])
+            for table, (c, v, doc) in zip(embedding, used, strict=True):
+                np.add.at(table, c, -step * back[doc] * v[:, None])
     model = Model(languages, [(t @ linear).astype(np.float32) for t in embedding], bias, 1.0, 0.0)
-    scores, truth = model.scores(data, offs)[held], y[held]
-    if len(truth) and k > 1:
+    rows = np.flatnonzero(held)
+    if len(rows) and k > 1:
+        truth, scores = y[rows], np.tile(bias, (len(rows), 1))
+        for table, grid in zip(model.tables, grids, strict=True):
+            c, v, doc = gather(rows, grid)
+            for lang in range(k):
+                scores[:, lang] += np.bincount(doc, table[c, lang] * v, len(rows))
         loss = {t: -np.log(_softmax(scores / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in np.geomspace(0.05, 20, 60)}
         model.temperature = float(min(loss, key=loss.get))
         p = _softmax(scores / model.temperature)
@@ -120,19 +155,19 @@ def fit(texts: list[str], langs: list[str], epochs: int = 6, rate: float = 20.0,
 
 
 def train(docs: DataFrame, eligible: Column, max_train: int = MAX_TRAIN) -> Model | None:
-    """Fit on a bounded sample of the rows that are eligible and have text and lang."""
-    rows = docs.where(eligible & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    ids = docs.where(eligible & F.col("lang").isNotNull()).select("doc_id", "lang")
-    languages = [r.lang for r in ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    if not languages:
-        return None
-    some = None
-    for lang in languages:
-        own = ids.where(F.col("lang") == lang).dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-        some = own if some is None else some.union(own)
-    got = rows.select("doc_id", "lang", "text").join(F.broadcast(some), ["doc_id", "lang"]).collect()
-    got = sorted((r.doc_id * 2654435761 % 1000003, r.doc_id, r.lang, r.text) for r in got)
-    return fit([r[3] for r in got], [r[2] for r in got])
+    """Fit on at most `max_train` rows of each language, of the rows that are eligible and have text and lang.
+
+    A language's many rows are thinned out by a hash of doc_id to a few times the
+    bound before they are ranked, so no language gathers its rows anywhere.
+    """
+    rows = docs.where(eligible & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang", "text")
+    sizes = stored(rows.groupBy("lang").agg(F.count("*").alias("_n")), "language-sizes")
+    place = F.xxhash64("doc_id") / F.lit(float(1 << 64)) + 0.5
+    near = rows.select("doc_id", "lang").join(ids_hint(sizes), "lang").where(place * F.col("_n") <= 8.0 * max_train).select("doc_id", "lang").distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    some = stored(near.withColumn("_r", rank).where(F.col("_r") <= max_train).select("doc_id", "lang"), "language-sample")
+    one = rows.join(ids_hint(some), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
+    return fitted(one.repartition(1).sortWithinPartitions(F.xxhash64("doc_id", F.lit(1)), "doc_id", "lang"), fit)
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text", out: str = "language") -> DataFrame:
