@@ -20,6 +20,7 @@ word mark that is in the text itself comes back as a space.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -192,23 +193,30 @@ class Codec:
         return pa.Array.from_buffers(pa.large_string(), len(valid), [mask, pa.py_buffer(ends.astype(np.int64)), packed]).cast(pa.string())
 
 
-_codecs: dict[int, Codec] = {}
+_codecs: dict[str, Codec] = {}
 
 
-def _codec(shared) -> Codec:
-    if id(shared) not in _codecs:
-        _codecs[id(shared)] = Codec(shared.value)
-    return _codecs[id(shared)]
+def _codec(digest: str, shared) -> Codec:
+    """The codec of a worker for the model with this digest; a worker holds the last one only."""
+    if digest not in _codecs:
+        _codecs.clear()
+        _codecs[digest] = Codec(shared.value)
+    return _codecs[digest]
+
+
+def _digest(table: PieceTable) -> str:
+    return hashlib.sha256(repr(table.pieces).encode()).hexdigest()
 
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """`docs` with the piece ids of `text` in the column `out` (array of int)."""
     spark = frugal(docs).sparkSession
-    shared = spark.sparkContext.broadcast(PieceTable.load(model_path))
+    table = PieceTable.load(model_path)
+    digest, shared = _digest(table), spark.sparkContext.broadcast(table)
 
     @F.arrow_udf("array<int>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = _codec(shared)
+        codec = _codec(digest, shared)
         for texts in batches:
             got = [None if t is None else codec.encode(t) for t in texts.to_pylist()]
             offsets = np.zeros(len(got) + 1, np.int32)
@@ -223,11 +231,12 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "ids
 def decode(docs: DataFrame, model_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """`docs` with the text of the piece ids in the column `out`."""
     spark = frugal(docs).sparkSession
-    shared = spark.sparkContext.broadcast(PieceTable.load(model_path))
+    table = PieceTable.load(model_path)
+    digest, shared = _digest(table), spark.sparkContext.broadcast(table)
 
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = _codec(shared)
+        codec = _codec(digest, shared)
         for arrays in batches:
             yield codec.decode_all(arrays)
 
