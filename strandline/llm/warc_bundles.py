@@ -45,13 +45,21 @@ HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _INDEX = "page_id long, bundle string, frame int, offset int, length int"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """One WARC record; a revisit if refers_to is given."""
+def _header_url(url: str) -> str:
+    return url.replace("\r", "%0D").replace("\n", "%0A")
+
+
+def record_id(page_id: int | None, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}:{digest}')}>"
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, refers_url: str | None = None) -> bytes:
+    """One WARC record; a revisit if refers_to is given, which names the response's record and URL."""
     body = HTTP_HEAD + payload if refers_to is None else HTTP_HEAD
     head = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}:{digest}')}>",
+        f"WARC-Record-ID: {record_id(page_id, digest)}",
         f"WARC-Date: {WARC_DATE}",
         f"WARC-Payload-Digest: sha256:{digest}",
         f"X-Payload-Length: {len(payload)}",
@@ -59,9 +67,11 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     if page_id is not None:
         head.append(f"X-Page-Id: {page_id}")
     if url is not None:
-        head.append("WARC-Target-URI: " + url.replace("\r", "%0D").replace("\n", "%0A"))
+        head.append("WARC-Target-URI: " + _header_url(url))
     if refers_to is not None:
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page-Id: {refers_to}"]
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id(refers_to, digest)}", f"WARC-Refers-To-Date: {WARC_DATE}", f"X-Refers-To-Page-Id: {refers_to}"]
+        if refers_url is not None:
+            head.append("WARC-Refers-To-Target-URI: " + _header_url(refers_url))
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
@@ -138,17 +148,17 @@ def _storage(place: str) -> tuple[pyarrow.fs.FileSystem, str]:
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        yield from zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "digest", "refers_to")), strict=True)
+        yield from zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "digest", "refers_to", "refers_url")), strict=True)
 
 
 def assigned(pages: DataFrame) -> DataFrame:
-    """page_id, url, payload, digest and refers_to (null for responses)."""
+    """page_id, url, payload, digest, refers_to and refers_url (the response's; null for responses)."""
     rows = frugal(pages).select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
-    ids = stored(rows.select("page_id", "digest", F.octet_length("payload").alias("size")).where(F.col("size") >= MIN_PAYLOAD), "warc-digests")
-    shared = ids.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").select("digest", "refers_to")
-    again = ids.join(ids_hint(stored(shared, "warc-shared")), "digest").where(F.col("page_id") != F.col("refers_to")).select("page_id", "digest", "refers_to").distinct()
-    return rows.join(ids_hint(stored(again, "warc-revisits")), ["page_id", "digest"], "left").select("page_id", "url", "payload", "digest", "refers_to")
+    ids = stored(rows.select("page_id", "url", "digest", F.octet_length("payload").alias("size")).where(F.col("size") >= MIN_PAYLOAD), "warc-digests")
+    shared = ids.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.min_by("url", F.struct("page_id", "url")).alias("refers_url"), F.count("*").alias("n")).where("n > 1").drop("n")
+    again = ids.join(ids_hint(stored(shared, "warc-shared")), "digest").where(F.col("page_id") != F.col("refers_to")).select("page_id", "digest", "refers_to", "refers_url").distinct()
+    return rows.join(ids_hint(stored(again, "warc-revisits")), ["page_id", "digest"], "left").select("page_id", "url", "payload", "digest", "refers_to", "refers_url")
 
 
 def write(records: DataFrame, folder: str) -> DataFrame:
@@ -164,12 +174,12 @@ def write(records: DataFrame, folder: str) -> DataFrame:
             ids, frames, offsets, lengths = zip(*writer.places, strict=True)
             return pa.record_batch([pa.array(ids, pa.int64()), pa.array([name] * len(ids)), pa.array(frames, pa.int32()), pa.array(offsets, pa.int32()), pa.array(lengths, pa.int32())], ["page_id", "bundle", "frame", "offset", "length"])
 
-        for page_id, url, payload, digest, refers_to in _rows(batches):
+        for page_id, url, payload, digest, refers_to, refers_url in _rows(batches):
             if writer is None:
                 files.create_dir(path, recursive=True)
                 name = f"{uuid.uuid4().hex}.warc.zst"
                 writer = BundleWriter(files.open_output_stream(f"{path}/.{name}", compression=None))
-            writer.add(page_id, record(page_id, url, payload, digest, refers_to))
+            writer.add(page_id, record(page_id, url, payload, digest, refers_to, refers_url))
             if writer.written >= BUNDLE_BYTES:
                 yield give()
                 writer = None
@@ -202,7 +212,9 @@ def read(index: DataFrame, folder: str) -> DataFrame:
                 kinds = (pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.int64())
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["page_id", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    frames = index.groupBy("bundle", "frame").agg(F.collect_list(F.struct("page_id", "offset", "length")).alias("places"))
+    # by bundles, of which there are as many as writing tasks at least; the index is too small for its own size to tell
+    bundles = max(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), index.select("bundle").distinct().count())
+    frames = index.repartition(bundles, "bundle").groupBy("bundle", "frame").agg(F.collect_list(F.struct("page_id", "offset", "length")).alias("places"))
     return frames.mapInArrow(run, "page_id long, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
