@@ -9,6 +9,11 @@
 All stages but the last return the columns of documents; the last returns
 doc_id, source, lang, ids, n_pieces and exact (the ids decode to the text).
 
+Null and empty texts are rejected by the quality rules, as are all texts of fewer
+than 20 words; rows with a null doc_id are near duplicates of nothing; repeated
+rows are one document from the second stage on; an empty table gives no rows;
+texts are worked on whole; further columns go through to the fourth stage.
+
 The models and the Hamming join have no SQL form, so ORACLE_SQL is None; the
 tests hold each stage against a brute-force version.
 """
@@ -24,12 +29,16 @@ from strandline.llm import decontamination, near_dedup, quality_rules, secret_sc
 from strandline.llm.store import stored
 
 
+#: Percent of their five-word shingles that near duplicates have in common.
+SIMILARITY = 80
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.kept(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.kept(docs)
+    return near_dedup.kept(docs, SIMILARITY)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,14 +3,20 @@
 Training takes a bounded sample of the labelled rows (MAX_TRAIN of each class,
 chosen by a hash of doc_id), fits word 1- and 2-grams and byte 3- and 5-grams
 hashed into 2**BITS cells by batch gradient descent, and calibrates the
-probability on the held-out fifth of the sample. Scoring runs over Arrow batches;
-a document is kept if it passes the base rules and its probability of good
-quality reaches MIN_PROBABILITY.
+probability on the held-out fifth of the sample. The fit is one task of an
+executor, which reads whole texts piece by piece and holds 12 bytes for each
+distinct n-gram cell of a text and kind, 3 MB a text at most; the driver gets the
+weights. Scoring runs over Arrow batches; a document is kept if it passes the
+base rules and its probability of good quality reaches MIN_PROBABILITY (a
+probability equal to it is enough).
 
 Edge cases: a null or empty text has no words and fails the base rules; labels
 that are null, or of documents without text, aren't trained on; where a class
-has no labelled row, only the base rules decide; repeated rows are each scored;
-repeated or conflicting labels each count.
+has no labelled row, only the base rules decide; an empty table gives no rows;
+repeated rows are each scored; repeated labels count once, and a document with
+both labels is trained on as both; of several texts with one labelled doc_id that
+with the least hash is trained on; texts are read whole, whatever their length;
+columns of any name stay as they are.
 """
 
 from __future__ import annotations
@@ -24,7 +30,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm import hashed_linear as hl
 from strandline.llm import textbuf
-from strandline.llm.store import frugal
+from strandline.llm.store import fitted, free_name, frugal
 
 #: Labelled rows that are trained on, of each class at most.
 MAX_TRAIN = 700
@@ -58,6 +64,9 @@ def base_columns(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     real = np.searchsorted(starts, line_e, "left") > words_before
     line_s, line_e, line_doc = line_s[real], line_e[real], line_doc[real]
     dup_lines = np.bincount(line_doc, minlength=n) - _distinct(line_doc, textbuf.segment_hash(sums, line_s, line_e), n)
+    for d in np.flatnonzero(dup_lines):  # lines with one hash are compared as bytes
+        own = slice(*np.searchsorted(line_doc, [d, d + 1]))
+        dup_lines[d] = own.stop - own.start - len({data[a:b].tobytes() for a, b in zip(line_s[own], line_e[own], strict=True)})
 
     # words in windows that are there twice or more
     h, h_doc = textbuf.window_hash(hashes, to, REPEAT_WINDOW)
@@ -110,41 +119,60 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.scale * raw + self.shift, -35, 35)))
 
 
-def fit(texts: list[str], labels: np.ndarray, epochs: int = 60, rate: float = 300.0, decay: float = 1e-6) -> Model | None:
-    """Train on the texts; None if only one class is there. Each class weighs the same."""
-    labels = np.asarray(labels)
+def _cell_sums(cells: np.ndarray, at: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, cell, share of the text's n-grams) of each distinct cell of a text; texts are numbered from `first`."""
+    doc = np.repeat(np.arange(len(at) - 1, dtype=np.int64), np.diff(at))
+    key, count = np.unique(doc << BITS | cells, return_counts=True)
+    d = key >> BITS
+    return (d + first).astype(np.int32), (key & ((1 << BITS) - 1)).astype(np.int32), (count / np.maximum(np.diff(at), 1)[d]).astype(np.float32)
+
+
+def fit(batches: Iterator[pa.RecordBatch], epochs: int = 60, rate: float = 300.0, decay: float = 1e-6) -> Model | None:
+    """Train on the batches' columns text and label; None if only one class is there. Each class weighs the same."""
+    labels, sums = [], [[] for _ in (*CHAR_WIDTHS, *WORD_WIDTHS)]
+    for piece in textbuf.pieces(batches, "text"):
+        data, offs = textbuf.buffers(piece.column("text"))
+        starts, ends, doc = textbuf.words(data, offs)
+        hashes, to = textbuf.segment_hash(textbuf.prefix(data), starts, ends), textbuf.spread(doc, len(offs) - 1)
+        for own, (cells, at) in zip(sums, features(data, offs, hashes, to), strict=True):
+            own.append(_cell_sums(cells, at, len(labels)))
+        labels += piece.column("label").to_pylist()
+    labels, n = np.array(labels), len(labels)
     if len(set(labels.tolist())) < 2:
         return None
-    data, offs = textbuf.buffers(pa.array(texts, pa.large_string()))
-    base = base_columns(data, offs)
-    hashes, to = base["_hashes"], base["_to"]
-    n, kinds = len(texts), list(features(data, offs, hashes, to))
+    grids = [tuple(np.concatenate(column) for column in zip(*own, strict=True)) for own in sums]
+    del sums
     held = np.arange(n) % 5 == 4
     share = np.where(labels == 1, 0.5 / max(1, ((labels == 1) & ~held).sum()), 0.5 / max(1, ((labels == 0) & ~held).sum())) * ~held
-    grids = []
-    for cells, at in kinds:  # as sums by (doc, cell)
-        doc = np.repeat(np.arange(n), np.diff(at))
-        key, count = np.unique(doc.astype(np.int64) << BITS | cells, return_counts=True)
-        d = key >> BITS
-        grids.append((d, key & ((1 << BITS) - 1), count / np.maximum(np.diff(at), 1)[d]))
-    weights, bias = np.zeros((len(kinds), 1 << BITS)), 0.0
-    for _ in range(epochs):
+    weights, bias = np.zeros((len(grids), 1 << BITS)), 0.0
+
+    def raw() -> np.ndarray:
         score = np.full(n, bias)
-        for w, (d, c, v) in zip(weights, grids, strict=True):
-            score += np.bincount(d, w[c] * v, n)
-        err = (1 / (1 + np.exp(-np.clip(score, -35, 35))) - labels) * share
-        for w, (d, c, v) in zip(weights, grids, strict=True):
+        for w, grid in zip(weights, grids, strict=True):
+            for d, c, v in _blocks(grid):
+                score += np.bincount(d, w[c] * v, n)
+        return score
+
+    for _ in range(epochs):
+        err = (1 / (1 + np.exp(-np.clip(raw(), -35, 35))) - labels) * share
+        for w, grid in zip(weights, grids, strict=True):
             w *= 1 - rate * decay
-            w -= rate * np.bincount(c, err[d] * v, 1 << BITS)
+            for d, c, v in _blocks(grid):
+                w -= rate * np.bincount(c, err[d] * v, 1 << BITS)
         bias -= err.sum()
-    model = Model(weights, bias)
-    raw = model.raw(data, offs, hashes, to)
+    model, scores = Model(weights, bias), raw()
     if len(set(labels[held].tolist())) == 2:
-        model.scale, model.shift = hl.platt(raw[held], labels[held])
+        model.scale, model.shift = hl.platt(scores[held], labels[held])
         model.scale = max(model.scale, 1e-3)
     return model
 
 
+def _blocks(grid: tuple[np.ndarray, ...], size: int = 1 << 20) -> Iterator[tuple[np.ndarray, ...]]:
+    """Slices of the grid, so that what is computed of it stays small."""
+    for at in range(0, len(grid[0]), size):
+        yield tuple(column[at : at + size] for column in grid)
+
+
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model | None:
     """Fit on at most `max_train` labelled rows of each class, those with the least hash of their doc_id."""
     some = [
@@ -152,11 +180,12 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
         for label in (0, 1)
     ]
     got = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(some[0].union(some[1])), "doc_id")
-    rows = sorted(((r.doc_id * 2654435761 % 1000003, r.doc_id, r.label, r.text) for r in got.collect()))
-    return fit([r[3] for r in rows], np.array([r[2] for r in rows]))
+    one = got.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
+    # the order of the sample decides what is held out for the calibration
+    return fitted(one.repartition(1).sortWithinPartitions(F.xxhash64("doc_id", F.lit(1)), "doc_id", "label"), fit)
 
 
-SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, probability double, base_failed boolean, kept boolean"
+SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, probability double"
 
 
 def assess(docs: DataFrame, model: Model | None, text: str = "text", out: str = "quality_report") -> DataFrame:
@@ -179,7 +208,7 @@ def assess(docs: DataFrame, model: Model | None, text: str = "text", out: str =
                 else:
                     p = model.probability(model.raw(data, offs, hashes, to))
                     kept, p = ~failed & (p >= MIN_PROBABILITY), pa.array(p)
-                columns = {k: pa.array(v, pa.int64()) for k, v in base.items()} | {"probability": p, "base_failed": pa.array(failed), "kept": pa.array(kept)}
+                columns = {k: pa.array(v, pa.int64()) for k, v in base.items()} | {"base_failed": pa.array(failed), "kept": pa.array(kept), "probability": p}
                 done.append(pa.StructArray.from_arrays(list(columns.values()), list(columns)))
             yield pa.concat_arrays(done) if done else pa.array([], pa.struct([]))
 
@@ -194,5 +223,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs` that the rules keep, with its columns."""
-    name = "_quality_"
+    name = free_name(docs.columns, "quality_report")
     return assess(docs, train(docs, labels), out=name).where(F.col(name)["kept"]).select(*docs.columns)

@@ -61,12 +61,60 @@ def test_proximity(spark):
 def test_near_groups(spark, docs):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.report(docs).collect()}
     assert got == brute.near_groups(pairs(docs))
+    fewer = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.groups(docs, 80).collect()}
+    assert fewer == brute.near_groups(pairs(docs), 80)
     kept = near_dedup.kept(docs.union(docs))
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (_, c) in got.items() if i == c)
     assert near_dedup.report(docs.limit(0)).count() == 0
 
 
+def test_near_groups_of_the_small_table(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.report(d).collect()}
+    want = brute.near_groups(pairs(d))
+    assert got == want and sum(i != c for i, (_, c) in want.items()) > 50
+
+
+def test_rows_of_one_doc_id(spark):
+    rows = [(1, "b b", {"x": 1}), (1, "a a", {"x": 2}), (1, "a a", {"x": 1}), (2, None, None), (None, "a a", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row map<string,int>")
+    assert sorted(near_dedup.kept(df.repartition(3)).collect(), key=str) == sorted([(1, "a a", {"x": 1}), (2, None, None), (None, "a a", None)], key=str)
+
+
+def test_limits_meet_nearly_all_pairs():
+    for similarity, chunks in ((85, 12), (80, 14)):
+        limit = near_dedup.Limit(similarity)
+        assert (limit.chunks, limit.distance) == (chunks, 2 * chunks - 1)
+    rng = np.random.default_rng(3)
+    limit = near_dedup.Limit(80)
+    a = rng.integers(0, 1 << 16, (1, 64), np.uint16)
+    for _ in range(300):  # every pair within the distance has a key in common
+        b = a.copy()
+        at = rng.choice(64, limit.distance, replace=False)
+        b[0, at] ^= np.uint16(1 + rng.integers(0, 1000))
+        assert any((x == y).any() for x, y in zip(near_dedup._keys(a, limit), near_dedup._keys(b, limit), strict=True))
+
+
+def thue_morse(n=10):
+    t = "a"
+    for _ in range(n):
+        t += t.translate({97: 98, 98: 97})
+    return t, t.translate({97: 98, 98: 97})
+
+
+def test_texts_made_against_hashes_with_powers_of_two(spark):
+    a, b = thue_morse()
+    rows = [(i, f"{x} {y} one two three\n{x}\n{y}\n{x}") for i, (x, y) in enumerate([(a, b), (b, a)])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.report(df).collect()} == brute.near_groups(rows)
+    got = {r.doc_id: r for r in quality_rules.report(df, spark.createDataFrame([], "doc_id long, quality int")).collect()}
+    assert all((got[i].n_words, got[i].word_chars, got[i].n_symbols, got[i].n_dup_lines, got[i].n_repeat_words, got[i].base_failed) == brute.quality_base(t) for i, t in rows)
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    scores = {r.doc_id: r for r in lm_score.report(df).collect()}
+    assert all(scores[i].n_known == known and scores[i].base_score == pytest.approx(base) for i, (_, known, _, base) in brute.base_scores(rows, held).items())
+
+
 def test_large_family_links_through_the_centre(spark):
     rng = random.Random(2)
     base = [rng.choice(WORDS) + str(rng.randrange(40)) for _ in range(300)]
@@ -272,7 +320,7 @@ def test_pipeline_stages(spark):
         before = {r.doc_id: r.text for r in got.select("doc_id", "text").collect()}
         got = stage(spark, got, DATA).cache()
         if name == "near_duplicates":
-            groups = brute.near_groups(before.items())
+            groups = brute.near_groups(before.items(), 80)
             assert sorted(r.doc_id for r in got.collect()) == sorted(i for i, (_, c) in groups.items() if i == c)
         if name == "decontamination":
             items = [tuple(r) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").select("item_id", "text").collect()]
