@@ -1,36 +1,49 @@
-"""Secret scans over a trigram inverted index.
-
-Every batch of documents becomes an index segment: for each trigram that a rule's
-query names, the sorted list of the segment's documents with that trigram
-(ASCII lower-cased). From each rule's regular expression a Boolean trigram query
-is derived; its AND and OR nodes intersect and unite the posting lists, and only
-the candidates that are left are verified with the expression itself. A rule
-whose expression forces no trigram (such as a run of hex digits) scans every
-document of the segment. Segments are independent, so nothing is shuffled, no
-list grows with the corpus, and a lost task only rebuilds its own segments.
+"""Secret scans over a stored trigram inverted index.
+
+One pass over the documents writes the index: a table with a row per segment of
+about SEGMENT_BYTES of text, which holds the segment's documents and, for every
+trigram of bytes (ASCII lower-cased) that any of them has, the sorted numbers of
+the documents with it, as differences. All trigrams are indexed, so one index
+serves any set of rules, also later ones. From each rule's regular expression a
+Boolean trigram query is derived; its AND and OR nodes intersect and unite the
+posting lists, and only the candidates that are left are verified with the
+expression itself. A rule whose expression forces no trigram (such as a run of
+hex digits) scans every document.
+
+A segment has its own dictionary, lists and documents, so a search reads each row
+once, nothing is shuffled, no list grows with the corpus, and a lost task only
+redoes its own segments.
 
 Edge cases: a null text is an empty one and has no spans; texts are scanned
-whole, whatever their length; repeated rows are each scanned; other columns
-than doc_id and text are not touched.
+whole, whatever their length; matches of one kind that begin at the same place
+are one; matches of several kinds there go by the rules' order; repeated rows are
+each scanned; an empty table gives an empty index and no rows; other columns are
+carried along as they are, whatever their names.
 """
 
 from __future__ import annotations
 
+import io
 import re
+import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from strandline.llm import textbuf
-from strandline.llm.store import frugal
+from strandline.llm.store import free_name, frugal, stored
 
 _parser, _const = re._parser, re._constants
 
+#: Bytes of text in a segment of the index, about; a longer text is one of its own.
+SEGMENT_BYTES = 1 << 20
 #: Strings of an exactly known set, beyond which only the trigrams they force are kept.
 MAX_EXACT = 64
 
@@ -61,7 +74,7 @@ RULES = (
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 20, base=False),
 )
 
-# A query is True (no trigram is forced), a trigram, or ("and" | "or", frozenset of queries).
+# A query is True (no trigram is forced), a trigram (three bytes), or ("and" | "or", frozenset of queries).
 ANY = True
 
 
@@ -81,7 +94,7 @@ def _either(parts: Iterable) -> object:
 
 
 def _forced(strings: Iterable[str]) -> object:
-    return _either(_both(s[i : i + 3] for i in range(len(s) - 2)) for s in strings)
+    return _either(_both(s[i : i + 3] for i in range(len(s) - 2)) for s in (x.encode() for x in strings))
 
 
 def _joined(exact: list[tuple[set[str] | None, object]]) -> tuple[set[str] | None, object]:
@@ -144,21 +157,49 @@ def trigram_query(pattern: str) -> object:
     return _both([_forced(strings), query]) if strings is not None else query
 
 
-def _named(query: object) -> set[str]:
-    return set() if query is ANY else {query} if isinstance(query, str) else set().union(*map(_named, query[1]))
-
-
-def postings(lowered: list[str], trigrams: Iterable[str]) -> dict[str, np.ndarray]:
-    """The segment's index: for each trigram the sorted numbers of the texts that have it."""
-    return {g: np.flatnonzero(np.fromiter((g in t for t in lowered), bool, len(lowered))) for g in trigrams}
-
-
-def candidates(query: object, index: dict[str, np.ndarray], n: int) -> np.ndarray:
+class Postings:
+    """A segment's part of the index: the sorted trigrams, and for each the sorted numbers of the documents that have it."""
+
+    def __init__(self, grams: np.ndarray, bounds: np.ndarray, steps: np.ndarray):
+        """grams: numbers of the trigrams; bounds: of their lists in steps, which are differences."""
+        self.grams, self.bounds, self.steps = grams, bounds, steps
+
+    @classmethod
+    def of(cls, data: np.ndarray, offs: np.ndarray) -> Postings:
+        low = textbuf.LOWER[data].astype(np.uint64)
+        doc = np.repeat(np.arange(len(offs) - 1, dtype=np.uint64), np.diff(offs))
+        key = (low[:-2] << np.uint64(16) | low[1:-1] << np.uint64(8) | low[2:]) << np.uint64(32) | doc[2:]
+        key = np.sort(key[doc[:-2] == doc[2:]])
+        key = key[np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))] if len(key) else key
+        gram, number = (key >> np.uint64(32)).astype(np.int64), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(key) else np.zeros(0, np.int64)
+        steps = np.diff(number, prepend=0)
+        steps[first] = number[first]
+        return cls(gram[first], np.append(first, len(key)), steps)
+
+    def pack(self) -> tuple[bytes, bytes, bytes]:
+        press = zstandard.ZstdCompressor(level=3).compress
+        return press(np.diff(self.grams, prepend=0).astype("<u4").tobytes()), press(np.diff(self.bounds).astype("<u4").tobytes()), press(self.steps.astype("<u4").tobytes())
+
+    @classmethod
+    def unpack(cls, grams: bytes, counts: bytes, steps: bytes) -> Postings:
+        plain = lambda x: np.frombuffer(zstandard.ZstdDecompressor().decompress(x), "<u4").astype(np.int64)
+        return cls(np.cumsum(plain(grams)), np.concatenate([[0], np.cumsum(plain(counts))]), plain(steps))
+
+    def list(self, trigram: bytes) -> np.ndarray:
+        code = int.from_bytes(trigram, "big")
+        at = int(np.searchsorted(self.grams, code))
+        if at == len(self.grams) or self.grams[at] != code:
+            return np.zeros(0, np.int64)
+        return np.cumsum(self.steps[self.bounds[at] : self.bounds[at + 1]])
+
+
+def candidates(query: object, index: Postings, n: int) -> np.ndarray:
     """Numbers of the texts that satisfy the query, by intersecting (rarest first) and uniting posting lists."""
     if query is ANY:
         return np.arange(n)
-    if isinstance(query, str):
-        return index[query]
+    if isinstance(query, bytes):
+        return index.list(query)
     lists = sorted((candidates(q, index, n) for q in query[1]), key=len)
     if query[0] == "or":
         return reduce(np.union1d, lists)
@@ -166,40 +207,70 @@ def candidates(query: object, index: dict[str, np.ndarray], n: int) -> np.ndarra
 
 
 @cache
-def _plans(rules: tuple[Rule, ...]) -> tuple[list[tuple], set[str]]:
-    plans = [(k, r, r.compiled(), trigram_query(r.pattern)) for k, r in enumerate(rules)]
-    return plans, set().union(*(_named(q) for *_, q in plans))
-
+def _plans(rules: tuple[Rule, ...]) -> list[tuple]:
+    return [(k, r, r.compiled(), trigram_query(r.pattern)) for k, r in enumerate(rules)]
 
-_LOWER = {c: c + 32 for c in range(65, 91)}
 
-
-def find(texts: list[str], rules: tuple[Rule, ...] = RULES) -> list[list[tuple[str, int, int]]]:
+def find(texts: list[str], rules: tuple[Rule, ...] = RULES, index: Postings | None = None) -> list[list[tuple[str, int, int]]]:
     """(kind, start, end) of each text's secrets by start, then the rules' order; positions are code points."""
-    plans, trigrams = _plans(rules)
-    index = postings([t.translate(_LOWER) if not t.isascii() else t.lower() for t in texts], trigrams)
+    index = index or Postings.of(*textbuf.buffers(pa.array(texts, pa.large_string())))
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    for k, rule, regex, query in plans:
+    for k, rule, regex, query in _plans(rules):
         for i in candidates(query, index, len(texts)):
             found[i] += [(m.start(), k, m.end()) for m in regex.finditer(texts[i]) if m.end(rule.group) - m.start(rule.group) >= rule.least]
     return [[(rules[k].kind, s, e) for s, k, e in sorted(f)] for f in found]
 
 
+@dataclass(frozen=True)
+class Index:
+    """The stored segments of `docs`, by the trigrams of its column `text`."""
+
+    segments: DataFrame
+    schema: StructType
+    text: str
+
+
+_SEGMENT = "segment string, n int, docs binary, grams binary, counts binary, steps binary"
+
+
+def index(docs: DataFrame, text: str = "text") -> Index:
+    """One pass over `docs` that writes the index."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in textbuf.pieces(batches, text, SEGMENT_BYTES):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
+                w.write_batch(piece)
+            packed = Postings.of(*textbuf.buffers(piece.column(text))).pack()
+            row = (uuid.uuid4().hex, piece.num_rows, sink.getvalue().to_pybytes(), *packed)
+            yield pa.record_batch([pa.array([row[0]]), pa.array([row[1]], pa.int32()), *(pa.array([x], pa.binary()) for x in row[2:])], ["segment", "n", "docs", "grams", "counts", "steps"])
+
+    return Index(stored(frugal(docs).mapInArrow(run, _SEGMENT), "secret-index"), docs.schema, text)
+
+
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", out: str = "secrets") -> DataFrame:
-    """`docs` with the spans of its secrets in the column `out`: array of (kind, start, end)."""
+def search(index: Index, rules: tuple[Rule, ...] = RULES, out: str = "secrets") -> DataFrame:
+    """The indexed documents with the spans of their secrets in the column `out`: array of (kind, start, end)."""
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+    text = index.text
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for docs, *lists in zip(*(batch.column(c).to_pylist() for c in ("docs", "grams", "counts", "steps")), strict=True):
+                table = pa.ipc.open_stream(io.BytesIO(docs)).read_all()
+                found = find([t or "" for t in table.column(text).to_pylist()], rules, Postings.unpack(*lists))
+                spans = pa.array([[{"kind": k, "start": s, "end": e} for k, s, e in f] for f in found], kind)
+                yield from table.append_column(out, spans).combine_chunks().to_batches(max_chunksize=500)
 
-    @F.arrow_udf(SPANS)
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            whole = pa.record_batch([texts], ["t"])
-            found = [f for piece in textbuf.pieces([whole], "t") for f in find([t or "" for t in piece.column(0).to_pylist()], rules)]
-            yield pa.array([[{"kind": k, "start": s, "end": e} for k, s, e in f] for f in found], kind)
+    schema = StructType([*index.schema.fields, StructField(out, _parse_datatype_string(SPANS))])
+    return index.segments.select("docs", "grams", "counts", "steps").mapInArrow(run, schema)
 
-    return frugal(docs).withColumn(out, run(F.col(text)))
+
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", out: str = "secrets") -> DataFrame:
+    """`docs` with the spans of its secrets in the column `out`, by an index that is written for it."""
+    return search(index(docs, text), rules, out)
 
 
 def joined(spans) -> object:
@@ -225,7 +296,7 @@ def redacted(docs: DataFrame, text: str = "text", mark: str = "[REDACTED]") -> D
 
     A document without secrets isn't changed. `n_chars`, if there, is the new length.
     """
-    name = "_secrets_"
+    name = free_name(docs.columns, "secrets")
     found = scan(docs, text=text, out=name)
     merged = F.aggregate(
         F.col(name),

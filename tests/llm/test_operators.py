@@ -191,6 +191,16 @@ def test_trigram_queries_never_lose_a_match(spark):
     df = spark.createDataFrame(list(enumerate([*docs, None])), "doc_id long, text string")
     got = {r.doc_id: r for r in secret_scan.report(df).collect()}
     assert len(got) == 302 and got[301].spans == "" and all(got[i].spans == ",".join(f"{k}:{s}:{e}" for k, s, e in p) for i, p in enumerate(plain))
+    kept = secret_scan.index(df.withColumn("secrets", F.lit(5)).repartition(3))
+    later = (secret_scan.Rule("mark", r"中+\n", 2), secret_scan.Rule("slack", r"xox[abprs]-[0-9]+", 15))
+    again = {r.doc_id: [tuple(x) for x in r.found] for r in secret_scan.search(kept, later, "found").collect()}
+    for i, t in enumerate(docs):
+        assert again[i] == sorted([("mark", *m.span()) for m in re.finditer("中+\n", t) if len(m[0]) >= 2] + [("slack", *m.span()) for m in re.finditer("xox[abprs]-[0-9]+", t) if len(m[0]) >= 15], key=lambda x: x[1])
+    assert secret_scan.search(kept, out="found").where("secrets <> 5").count() == 0
+    assert secret_scan.redacted(df.withColumn("secrets", F.lit(5)).limit(0)).columns == ["doc_id", "text", "secrets"]
+    assert secret_scan.report(df.limit(0)).count() == 0 and secret_scan.report(df.union(df)).count() == 604
+    long = "x " * 400_000 + "password: abcdefgh"
+    assert secret_scan.find([long]) == [[("assign", 800_000, 800_018)]]
     clean = {r.doc_id: r.text for r in secret_scan.redacted(df).collect()}
     assert clean[301] is None and all(clean[i] == t for i, (t, p) in enumerate(zip(docs, plain, strict=True)) if not p)
     assert not any(k in ("access", "github", "private_key") for f in secret_scan.find([t or "" for t in clean.values()]) for k, _, _ in f)
