@@ -1,5 +1,6 @@
 import random
 import re
+import textwrap
 import zlib
 
 import brute
@@ -311,16 +312,55 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc_bundles.report(pages.limit(0)).count() == 0
 
 
+def plain_licenses(model, text):
+    """{family: paragraphs} of one text, line by line."""
+    known, lines = license_scan.Templates(), {}
+    for n, line in enumerate((text or "").split("\n")):
+        words = license_scan.tokens(line)
+        p, own = model.probabilities(words), license_scan.shingles(words)
+        family = model.families[int(p.argmax())]
+        met = [s for s in own if s in known.of.get(family, ())]
+        if family != license_scan.UNKNOWN and p.max() >= model.threshold and len(met) >= license_scan.MIN_SHARE * len(own) and any(s in known.distinctive for s in met):
+            lines.setdefault(family, []).append(n)
+    return {f: sum(n - 1 not in at for n in at) for f, at in lines.items()}
+
+
 def test_licenses(spark):
-    rows = [(1, "Some words.\nReleased under the MIT License.\nMore."), (2, license_scan.TEMPLATES["gpl"][0]), (3, license_scan.NEUTRAL[0]), (4, None), (5, ""), (6, "Licensed under CC BY-NC 4.0.\nLicensed under the Apache License, Version 2.0.\nLicensed under CC BY-NC 4.0."), (7, "Redistribution and use in source and binary forms are permitted provided that the conditions are met")]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
+    body = license_scan.FAMILIES["mit"][2]
+    wrapped = "\n".join(textwrap.wrap("  ".join(license_scan.FAMILIES["bsd"][2]), 76))
+    expected = {
+        "Some words.\nReleased under the MIT License.\nMore.": ("mit", 1), license_scan.FAMILIES["gpl"][2][0]: ("gpl", 1), license_scan.NEUTRAL[0]: (None, 0), "": (None, 0), body[2]: ("mit", 1),
+        "Licensed under CC BY-NC 4.0.\nLicensed under the Apache License, Version 2.0.\nLicensed under CC BY-NC 4.0.": ("cc", 3), "Redistribution and use in source and binary forms are permitted provided that the conditions are met": ("bsd", 1),
+        "Eclipse Public License, Version 2.0": ("epl", 1), "ISC License": ("isc", 1), "Released under the Unlicense": ("unlicense", 1), "GNU Affero General Public License": ("agpl", 1), "SPDX-License-Identifier: ISC": ("isc", 1),
+        "Distributed under the GPL v3.": ("gpl", 1), "This project uses the BSD 2-Clause License.": ("bsd", 1), "LGPL 2.1": ("lgpl", 1), "CC0 1.0 Universal": ("cc0", 1), "Boost Software License": ("boost", 1), "Business Source License 1.1": ("busl", 1),
+        "Licensed under the Foo Public License.": (None, 0), "SPDX-License-Identifier: X11": (None, 0), "Artistic License 2.0": (None, 0), "European Union Public Licence": (None, 0), "word " * 200_000 + "MIT": (None, 0),
+    }
+    rows = [(i, t, "x", i) for i, t in enumerate(expected)] + [(900, None, "x", 0), (None, "ISC License", "x", 0), (901, "ISC License", "x", 1), (901, "MIT License", "x", 2), (902, wrapped, "x", 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, paragraph string, row int").repartition(5)
     got = license_scan.report(df)
-    assert {r.doc_id: (r.families, r.family, r.n_paragraphs) for r in got.collect()} == {1: ("mit", "mit", 1), 2: ("gpl", "gpl", 1), 3: ("", None, 0), 4: ("", None, 0), 5: ("", None, 0), 6: ("apache,cc", "cc", 3), 7: ("bsd", "bsd", 1)}
+    seen = {r.doc_id: (r.family, r.n_paragraphs) for r in got.collect()}
+    assert [seen[i] for i in range(len(expected))] == list(expected.values())
+    assert got.count() == len(rows) and seen[900] == seen[None] == (None, 0) and seen[901] == ("isc", 2)
+    assert seen[902][0] == "bsd" and seen[902][1] >= 1 and {r.doc_id: r.families for r in got.collect()}[902] == "bsd"
+    assert {r.doc_id: r.families for r in got.collect()}[6] == "apache,cc"
     plan = got._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert license_scan.report(df.limit(0)).count() == 0
 
 
+def test_licenses_against_plain_loops(spark):
+    d = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
+    pieces = [" ".join(w for w in t.split()[::k]) for f in license_scan.FAMILIES for t in license_scan.templates(f) for k in (1, 2)] + license_scan.NEUTRAL
+    rows = pairs(d) + [(10_000_000 + i, t) for i, t in enumerate(pieces)]
+    model, found = license_scan.classifier(), 0
+    got = {r.doc_id: r for r in license_scan.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        want = plain_licenses(model, t)
+        assert (got[i].n_paragraphs, got[i].families) == (sum(want.values()), ",".join(sorted(want))), t
+        found += bool(want)
+    assert found > 200
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as p
 
