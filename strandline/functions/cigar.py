@@ -9,9 +9,12 @@ from strandline.functions import col
 
 
 def parse(text) -> Column:
-    """From text; `*` and null give an empty array."""
-    parts = F.regexp_extract_all(F.coalesce(col(text), F.lit("*")), F.lit("[0-9]+[MIDNSHP=X]"), F.lit(0))
-    return F.transform(parts, lambda p: F.struct(F.substring(p, -1, 1).alias("op"), F.regexp_extract(p, "^[0-9]+", 0).cast("int").alias("len")))
+    """From text; `*`, null and anything that is no CIGAR give an empty array."""
+    t = F.coalesce(col(text), F.lit("*"))
+    ops = F.split(F.translate(t, "0123456789", ""), "")
+    sizes = F.split(F.rtrim(t, F.lit("MIDNSHP=X")), "[MIDNSHP=X]").cast("array<int>")
+    empty = F.array().cast("array<struct<op:string,len:int>>")
+    return F.when(t.rlike("^([0-9]+[MIDNSHP=X])+$"), F.arrays_zip(ops, sizes).cast("array<struct<op:string,len:int>>")).otherwise(empty)
 
 
 def total(cigar, *ops: str, but: bool = False) -> Column:
@@ -59,3 +62,19 @@ def clip_parts(seq, cigar, reverse) -> Column:
     cut = F.when(side == "left", F.when(first["op"] == "S", first["len"]).otherwise(0)).when(side == "right", F.char_length(s) - F.when(last["op"] == "S", last["len"]).otherwise(0))
     left, right = F.substring(s, F.lit(1), cut), F.substring(s, cut + 1, F.char_length(s))
     return F.when(side != "none", F.struct(F.when(reverse, left).otherwise(right).alias("head"), F.when(reverse, right).otherwise(left).alias("tail")))
+
+
+def is_big_clip(seq, op, size: int) -> Column:
+    """Whether a CIGAR entry is a soft clip of `size` bases or more, of a read that has as many."""
+    return (op["op"] == "S") & (F.least(F.char_length(col(seq)), op["len"]) >= size)
+
+
+def clip_alignment(seq, qual, cigar) -> Column:
+    """(seq, qual) of the end with the longer soft clip; the back one for equal ones and without soft clips."""
+    c, s, q = col(cigar), col(seq), col(qual)
+    soft = lambda x: F.when(x["op"] == "S", x["len"]).otherwise(-1)
+    first, last, n = F.element_at(c, 1), F.element_at(c, -1), F.char_length(s)
+    front = soft(first) > soft(last)
+    size = F.least(n, F.when(front, first["len"]).otherwise(last["len"]))
+    at = F.when(front, F.lit(1)).otherwise(n - size + 1)
+    return F.when(F.size(c) > 0, F.struct(F.substring(s, at, size).alias("seq"), F.substring(q, at, size).alias("qual")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,10 +17,32 @@ def kmers(s, k: int) -> Column:
     return F.when(F.char_length(text) >= k, F.transform(F.sequence(F.lit(1), F.char_length(text) - (k - 1)), lambda i: F.substring(text, i, F.lit(k))))
 
 
+def _plain(kmer: Column) -> Column:
+    """No ambiguous base and no four equal ones."""
+    runs = [~F.contains(kmer, F.lit(4 * base)) for base in "ACGT"]
+    return reduce(Column.__and__, runs) & (F.translate(kmer, "ACGT", "") == "")
+
+
 def minimizer(s, k: int) -> Column:
-    """The least of all k-mers without ambiguous or low-complexity bases, each as the lesser of both strands."""
-    usable = F.filter(kmers(s, k), lambda x: ~x.rlike("[^ACGT]|A{4}|C{4}|G{4}|T{4}"))
-    return F.array_min(F.transform(usable, lambda x: F.least(x, reverse_complement(x))))
+    """The least of all k-mers without ambiguous or low-complexity bases, each as the lesser of both strands; null if there is none."""
+    text = col(s)
+    back = reverse_complement(text)
+    n = F.char_length(text)
+    both = F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i: F.struct(F.substring(text, i, F.lit(k)).alias("a"), F.substring(back, n - i - (k - 2), F.lit(k)).alias("b")))
+    usable = F.filter(both, lambda x: _plain(x["a"]))
+    return F.when(n >= k, F.array_min(F.transform(usable, lambda x: F.least(x["a"], x["b"]))))
+
+
+def anchored_minimizer(s, k: int, base: str) -> Column:
+    """The least code of the usable k-mers that begin with `base`, either strand's; 0 if there is none.
+
+    Codes are two bits a base from the top of 64, and only those below 2^63 can
+    win, which begin with A or C.
+    """
+    text = col(s)
+    usable = F.filter(kmers(text, k), lambda x: x.startswith(base) & ~x.rlike("[^ACGT]|A{4}|C{4}|G{4}|T{4}"))
+    codes = F.filter(F.flatten(F.transform(usable, lambda x: F.array(x, reverse_complement(x)))), lambda x: x.rlike("^[AC]"))
+    return F.coalesce(two_bit(F.rpad(F.array_min(codes), 32, "A")), F.lit(0).cast("decimal(20,0)"))
 
 
 def premer(s, k: int) -> Column:
@@ -39,6 +63,11 @@ def two_bit(kmer) -> Column:
     return F.conv(F.translate(col(kmer), "ACGT", "0123"), 4, 10).cast("decimal(20,0)")
 
 
+def from_two_bit(code, k: int) -> Column:
+    """The k-mer of a number of two bits a base."""
+    return F.translate(F.lpad(F.conv(col(code).cast("string"), 10, 4), k, "0"), "0123", "ACGT")
+
+
 def base_set(mask) -> Column:
     """Bases of the bits 0 to 4: N, A, C, G, T."""
     bit = lambda i, b: F.when(F.getbit(col(mask), F.lit(i)) == 1, b).otherwise("")

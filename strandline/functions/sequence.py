@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from strandline.functions import col
 
@@ -103,23 +99,11 @@ def bwa_trim_length(qual, threshold: int, least: int = 35, offset: int = 33) ->
     return F.when(n < least, n).otherwise(F.aggregate(places, start, step, lambda acc: acc["keep"]))
 
 
-def _common(a: str, b: str) -> str:
-    best, ends, row = 0, [], [0] * (len(b) + 1)
-    for i, x in enumerate(a, 1):
-        new = [0] * (len(b) + 1)
-        for j, y in enumerate(b, 1):
-            if x == y:
-                n = new[j] = row[j - 1] + 1
-                if n > best:
-                    best, ends = n, [i]
-                elif n == best and ends[-1] != i:
-                    ends.append(i)
-        row = new
-    return "".join(a[e - best : e] for e in ends)
-
-
-@F.arrow_udf(StringType())
-def longest_common(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+def longest_common(a, b) -> Column:
     """The longest common substring of two texts; of several, all places in the first text, joined. Null for a null."""
-    for a, b in pairs:
-        yield pa.array([None if x is None or y is None else _common(x, y) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.string())
+    x, y = col(a), col(b)
+    longest = lambda i: F.aggregate(F.sequence(F.lit(1), F.char_length(x) - i + 1), F.lit(0), lambda n, _: F.when(F.contains(y, F.substring(x, i, n + 1)), n + 1).otherwise(n))
+    places = F.when(F.char_length(x) > 0, F.sequence(F.lit(1), F.char_length(x))).otherwise(F.array().cast("array<int>"))
+    from_each = F.transform(places, lambda i: F.struct(i.alias("i"), longest(i).alias("n")))
+    best = F.aggregate(from_each, F.struct(F.lit(0).alias("n"), F.lit("").alias("t")), lambda acc, p: F.when((p["n"] > 0) & (p["n"] >= acc["n"]), F.struct(p["n"].alias("n"), F.concat(F.when(p["n"] > acc["n"], "").otherwise(acc["t"]), F.substring(x, p["i"], p["n"])).alias("t"))).otherwise(acc), lambda acc: acc["t"])
+    return F.when(x.isNotNull() & y.isNotNull(), best)

@@ -64,6 +64,10 @@ def file_format(first_line) -> Column:
     return F.when(c == ">", "FASTA").when(c == "@", "FASTQ").otherwise("OTHER")
 
 
+def is_gzip(path) -> Column:
+    return col(path).endswith(".gz")
+
+
 def is_discordant(chrom, pos, mate_chrom, mate_pos, threshold: int = 2000) -> Column:
     return (col(chrom) != col(mate_chrom)) | (F.abs(col(mate_pos) - col(pos)) > threshold)
 

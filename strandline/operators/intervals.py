@@ -37,18 +37,26 @@ def stab_join(points: DataFrame, spans: DataFrame, keys: list[str], point: str,
     return a.join(b, [*keys, "_bin"]).where((F.col(f"r.{span[0]}") <= F.col(f"l.{point}")) & (F.col(f"l.{point}") < F.col(f"r.{span[1]}"))).select("l", "r")
 
 
-def asof_join(left: DataFrame, right: DataFrame, keys: list[str], l_at: str, r_at: str, values: list[str], prefix: str = "") -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, keys: list[str], l_at: str, r_at: str, values: list[str], prefix: str = "", width: int = 1 << 20) -> DataFrame:
     """Each left row with the values of the last right row at or before it (null without one).
 
-    Ties among right rows go to the greatest values. One window pass over the
-    union, by keys, instead of a join.
+    Ties among right rows go to the greatest values. A window pass over the union
+    by keys and bins of `width`, instead of a join; where a bin has nothing before
+    a row, the last right row of the earlier bins counts, from a table with a row
+    per key and bin. So a key of many rows is spread over its bins.
     """
     own = F.struct(*left.columns)
-    a = left.select(*keys, F.col(l_at).cast("long").alias("_at"), F.lit(1).alias("_side"), own.alias("_l"), F.lit(None).cast(right.select(F.struct(r_at, *values)).schema[0].dataType).alias("_r"))
-    b = right.select(*keys, F.col(r_at).cast("long").alias("_at"), F.lit(0).alias("_side"), F.lit(None).cast(left.select(own).schema[0].dataType).alias("_l"), F.struct(r_at, *values).alias("_r"))
-    w = Window.partitionBy(*keys).orderBy("_at", "_side", "_r").rowsBetween(Window.unboundedPreceding, 0)
-    found = a.unionByName(b).withColumn("_r", F.last("_r", ignorenulls=True).over(w)).where("_side = 1")
-    return found.select("_l.*", *[F.col(f"_r.{v}").alias(f"{prefix}{v}") for v in [r_at, *values]])
+    none = lambda df, s: F.lit(None).cast(df.select(s).schema[0].dataType)
+    theirs = F.struct(F.col(r_at).cast("long").alias("_at"), F.struct(r_at, *values).alias("_v"))
+    a = left.select(*keys, F.col(l_at).cast("long").alias("_at"), F.lit(1).alias("_side"), own.alias("_l"), none(right, theirs).alias("_r"))
+    b = right.select(*keys, F.col(r_at).cast("long").alias("_at"), F.lit(0).alias("_side"), none(left, own).alias("_l"), theirs.alias("_r"))
+    both = a.unionByName(b).withColumn("_bin", bin_of(F.col("_at"), width))
+    w = Window.partitionBy(*keys, "_bin").orderBy("_at", "_side", "_r").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_r", F.last("_r", ignorenulls=True).over(w)).where("_side = 1")
+    earlier = F.last("_m", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))
+    carried = both.groupBy(*keys, "_bin").agg(F.max("_r").alias("_m")).select(*keys, "_bin", earlier.alias("_e")).where("_e IS NOT NULL")
+    found = found.join(carried, [*keys, "_bin"], "left").withColumn("_r", F.coalesce("_r", "_e"))
+    return found.select("_l.*", *[F.col(f"_r._v.{v}").alias(f"{prefix}{v}") for v in [r_at, *values]])
 
 
 def within_annotation(points: DataFrame, annotation: DataFrame, keys: list[str], at: str, start: str = "start", end: str = "end") -> DataFrame:
@@ -57,6 +65,15 @@ def within_annotation(points: DataFrame, annotation: DataFrame, keys: list[str],
     return found.withColumn("in_annotation", F.coalesce(F.col(at) <= F.col(f"_a_{end}"), F.lit(False))).drop(f"_a_{start}", f"_a_{end}")
 
 
+def caused_by_repeats(pairs: DataFrame, annotation: DataFrame, key: str, at: str, mate_key: str, mate_at: str) -> DataFrame:
+    """`pairs` with `either_in` and `both_in`: whether the read's and the mate's positions are in an annotation (key, start, end)."""
+    names = dict(zip(pairs.columns, pairs.columns, strict=True))
+    one = within_annotation(pairs, annotation, [key], at).withColumnRenamed("in_annotation", "_one")
+    mates = annotation.withColumnRenamed(key, mate_key)
+    two = within_annotation(one, mates, [mate_key], mate_at)
+    return two.withColumn("either_in", F.col("_one") | F.col("in_annotation")).withColumn("both_in", F.col("_one") & F.col("in_annotation")).select(*names, "either_in", "both_in")
+
+
 def nearest_match(left: DataFrame, right: DataFrame, keys: list[str], l_id: str, l_span: tuple[str, str], r_id: str, r_span: tuple[str, str], margin: int, width: int) -> DataFrame:
     """Each left row with the nearest right row whose widened span overlaps, as (l_id, r_id, delta, status S or D).
 

@@ -82,3 +82,112 @@ def pair_reads(reads: DataFrame, name: str, is_first: Column, is_secondary: Colu
 def mates_of(reads: DataFrame, wanted: DataFrame, keys: list[str], pos: str, low: str, high: str, distinct: bool = True) -> DataFrame:
     """Reads with each wanted row of equal keys whose range has their position; repeated wanted rows count once if distinct."""
     return reads.join(wanted.distinct() if distinct else wanted, keys).where(F.col(pos).between(F.col(low), F.col(high)))
+
+
+def any_at_most(values, limit) -> Column:
+    """Whether one of an array's values is at most the limit."""
+    return F.coalesce(F.exists(values, lambda x: x <= limit), F.lit(False))
+
+
+def rare_in_a_sample(sites: DataFrame, clip_af: str, disc_af: str, limit: float) -> DataFrame:
+    """Sites of which one sample's clip fraction and one sample's discordant fraction (arrays) are at most the limit."""
+    return sites.where(any_at_most(F.col(clip_af), limit) & any_at_most(F.col(disc_af), limit))
+
+
+def both_clip_sides(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Sites with evidence on both sides, as structs `l` and `r`; others are left out."""
+    pack = lambda df, name: df.select(*keys, F.struct(*[c for c in df.columns if c not in keys]).alias(name))
+    return pack(left, "l").join(pack(right, "r"), keys)
+
+
+def consistent_mates(sites: DataFrame, mates: DataFrame, keys: list[str], pos: str, near: int, ratio: float) -> DataFrame:
+    """Sites (keys, l_start, l_end, r_start, r_end) of whose mates' positions `ratio` are within `near` of the left or the right window.
+
+    A window that would begin at 0 or before, widened, doesn't count. The result has n_near and n_all.
+    """
+    def within(side: str) -> Column:
+        low, high = F.col(f"{side}_start") - near, F.col(f"{side}_end") + near
+        return (low > 0) & F.col(pos).between(low, high)
+
+    met = sites.join(mates, keys).groupBy(*keys).agg(F.count_if(within("l") | within("r")).alias("n_near"), F.count("*").alias("n_all"))
+    return met.where(F.col("n_near") / F.col("n_all") >= ratio)
+
+
+def lifted(points: DataFrame, copies: DataFrame, keys: list[str], pos: str, flank: int, out: str = "cns_pos") -> DataFrame:
+    """`points` with the place in the consensus of a position in a repeat's copy with flanks; -1 without that copy.
+
+    `copies` has the keys, is_rc, cns_start and cns_end, one row of each copy.
+    """
+    both = points.join(copies.select(*keys, "is_rc", "cns_start", "cns_end"), keys, "left")
+    there = F.when(F.col("is_rc"), F.col("cns_end") - F.col(pos) + flank).otherwise(F.col("cns_start") + F.col(pos) - flank)
+    return both.withColumn(out, F.coalesce(there, F.lit(-1))).drop("is_rc", "cns_start", "cns_end")
+
+
+def subfamilies(points: DataFrame, copies: DataFrame, keys: list[str]) -> DataFrame:
+    """`points` with sub_type, divergence and copy_length (end - start) of the copy with exactly these keys; null without one."""
+    return points.join(copies.select(*keys, "sub_type", "divergence", (F.col("end") - F.col("start")).alias("copy_length")), keys, "left")
+
+
+def collected_mates(mates: DataFrame, keys: list[str], flank: int, margin: int = 15, least_mapq: int = 30) -> DataFrame:
+    """Per key: consensus positions (sorted), n_polya, and transductions as copy~count texts (sorted).
+
+    `mates` has pos (in the copy with its flanks), length, mapq, is_polya, copy,
+    copy_length, is_rc, cns_start, cns_end. A mate in a copy's flank (left of it
+    only if well mapped) and not of poly-A is a transduction; others are placed on
+    the consensus by their middle, as far as their copy is known.
+    """
+    flanking = (((F.col("mapq") >= least_mapq) & (F.col("pos") < flank - margin)) | (F.col("pos") > F.col("copy_length") + flank - margin)) & ~F.col("is_polya")
+    middle = F.col("pos") + F.floor(F.col("length") / 2)
+    place = F.when(F.col("is_rc"), F.col("cns_end") - middle + flank).otherwise(F.col("cns_start") + middle - flank)
+    rows = mates.withColumn("_t", F.coalesce(flanking, F.lit(False))).withColumn("_p", F.when(~F.col("_t"), place).cast("long"))
+    per = rows.groupBy(*keys, F.when(F.col("_t"), F.col("copy")).alias("_copy")).agg(F.collect_list("_p").alias("_p"), F.count_if("is_polya").alias("_a"), F.count("*").alias("_n"))
+    moved = F.when(F.col("_copy").isNotNull(), F.concat_ws("~", "_copy", F.col("_n").cast("string")))
+    return per.groupBy(*keys).agg(F.array_sort(F.flatten(F.collect_list("_p"))).alias("positions"), F.sum("_a").alias("n_polya"), F.array_sort(F.collect_list(moved)).alias("transductions"))
+
+
+def barcodes_of(reads: DataFrame, keys: list[str], tags: str = "tags") -> DataFrame:
+    """keys and barcode: the distinct barcodes (- as _) of each key's reads; reads without one don't count."""
+    code = F.replace(F.try_element_at(F.col(tags), F.lit("BX")), F.lit("-"), F.lit("_"))
+    return reads.select(*keys, code.alias("barcode")).where("barcode IS NOT NULL").distinct()
+
+
+def reads_with(reads: DataFrame, barcodes: DataFrame, flag: str = "flag", tags: str = "tags", unmapped: bool = False) -> DataFrame:
+    """Usable reads that have one of the barcodes; unmapped ones too if asked for."""
+    bad = 1024 | 256 | 2048 | (0 if unmapped else 4)
+    code = F.replace(F.try_element_at(F.col(tags), F.lit("BX")), F.lit("-"), F.lit("_"))
+    return reads.where(F.col(flag).bitwiseAND(F.lit(bad)) == 0).withColumn("barcode", code).join(barcodes.select("barcode").distinct(), "barcode")
+
+
+def longest(df: DataFrame, keys: list[str], seq: str, order: str, n: int = 1) -> DataFrame:
+    """The n longest non-empty sequences of each key with their rank `r`; of equal ones the first by `order`."""
+    rows = df.where(F.char_length(seq) > 0).withColumn("_minus", -F.char_length(seq))
+    best = first_per_key(rows, keys, ["_minus", order], n) if n == 1 else rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy("_minus", order))).where(F.col("_r") <= n)
+    best = best if n > 1 else best.withColumn("_r", F.lit(1))
+    return best.withColumnRenamed("_r", "r").drop("_minus")
+
+
+def coverage(reads: DataFrame, keys: list[str], value: str, read_length: int, genome: int) -> DataFrame:
+    """Per key: coverage (reads' summed value times their length over the genome), mean and sd of the value."""
+    return reads.groupBy(*keys).agg((F.sum(value) * read_length / genome).alias("coverage"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("sd"))
+
+
+def positions_of(df: DataFrame, keys: list[str], pos: str) -> DataFrame:
+    """Per key: n and the sorted positions."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(pos)).alias("positions"))
+
+
+def not_listed(df: DataFrame, *lists: DataFrame) -> DataFrame:
+    """Rows of `df` that no list has; each list is joined by the columns it has in common with `df`."""
+    for one in lists:
+        shared = [c for c in one.columns if c in df.columns]
+        df = df.join(one.select(*shared).distinct(), shared, "left_anti")
+    return df
+
+
+def fastq_shards(first: DataFrame, second: DataFrame, ordinal: str, size: int = 262_144) -> DataFrame:
+    """Both mates' records as structs `a` and `b` with their shard of `size` records; files of different lengths are an error."""
+    pack = lambda df, name: df.select(ordinal, F.struct(*[c for c in df.columns if c != ordinal]).alias(name))
+    both = pack(first, "a").join(pack(second, "b"), ordinal, "full")
+    alone = F.col("a").isNull() | F.col("b").isNull()
+    checked = F.when(alone, F.raise_error(F.lit("the mates' files have different numbers of records")).cast("long")).otherwise(F.floor(F.col(ordinal) / size))
+    return both.select(checked.alias("shard"), ordinal, "a", "b")

@@ -7,6 +7,8 @@ reads are inputs, since aligning is an external program's work.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from strandline import schemas
 from strandline.functions import cigar, text
 from strandline.operators import intervals, ordered, relational
 from strandline.params import Params
+from strandline.sources import tables
 
 
 def _flag(bit: int):
@@ -94,6 +97,28 @@ def confirmed_sites(clips: DataFrame, mates: DataFrame, samples: int, p: Params
     return sites.select("chrom", F.coalesce("left_peak", "right_peak").alias("pos"), F.when(two, F.abs(F.col("right_peak") - F.col("left_peak"))).otherwise(0).alias("tsd"))
 
 
+def mates_at(found: DataFrame, reads: DataFrame) -> DataFrame:
+    """Discordant reads' sites with the bases of their mates: the record of that name, place and other number."""
+    mates = reads.where(~_flag(schemas.SECONDARY) & ~_flag(schemas.SUPPLEMENTARY))
+    mates = mates.select("name", F.col("chrom").alias("mate_chrom"), F.col("pos").alias("mate_pos"), (F.lit(1) - _flag(schemas.READ1).cast("int")).alias("is_first"), F.col("seq").alias("bases"))
+    return found.join(mates, ["name", "mate_chrom", "mate_pos", "is_first"]).select("chrom", "site_pos", "name", "bases")
+
+
+def call_sites(calls: DataFrame, samples: list[DataFrame], realign: Callable[[DataFrame], DataFrame], p: Params | None = None, enforce_cluster: bool = False) -> DataFrame:
+    """chrom, pos and tsd of the insertion sites that every sample's reads confirm, from a table of calls.
+
+    `realign` stands for the external aligner: it returns those of the given rows
+    whose column `bases` aligns to a repeat's consensus, with the place as cns_pos.
+    """
+    p = p or Params()
+    sites = tables.breakpoints(calls).where("pos IS NOT NULL").distinct()
+    at = [reads_at_sites(sites, reads, p) for reads in samples]
+    clipped = realign(relational.tagged_union([clips(rows, p) for rows in at]))
+    mates = realign(relational.tagged_union([mates_at(discordants(rows, p), reads) for rows, reads in zip(at, samples, strict=True)]))
+    found = confirmed_sites(clipped, mates, len(samples), p, enforce_cluster)
+    return found.where(~text.is_decoy("chrom"))
+
+
 def compare_calls(a: DataFrame, b: DataFrame, p: Params | None = None) -> tuple[DataFrame, DataFrame]:
     """Both directions' nearest matches of confident calls with the same chrom and family; each needs a column `id`."""
     p = p or Params()

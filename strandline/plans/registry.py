@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from strandline.functions import cigar, kmers, sequence, text
 from strandline.operators import intervals, ordered, relational
+from strandline.params import Params
+from strandline.plans import filter_sites
+from strandline.sources import tables
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -31,10 +34,14 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from strandline.plans import read_queries  # noqa: F401  (registers its own)
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from strandline.plans import read_queries  # noqa: F401
+
     return dict(_SQL)
 
 
@@ -134,11 +141,12 @@ def mate_lookup(t):
     return relational.mates_of(e, wanted, ["user_id"], "sec", "low", "high").select("event_id", "site")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN p_size IS NULL THEN -1 WHEN l_linenumber % 2 = 0 THEN CAST(p_size + l_quantity - 10 AS BIGINT) ELSE CAST(p_size + 50 - l_quantity + 10 AS BIGINT) END AS lifted FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND p_size < 40")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN p_size IS NULL THEN -1 WHEN p_size % 2 = 0 THEN CAST(p_size + 50 - l_quantity + 10 AS BIGINT) ELSE CAST(p_size + l_quantity - 10 AS BIGINT) END AS lifted FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND p_size < 40")
 def consensus_lift(t):
-    part = t("part").where("p_size < 40").select(F.col("p_partkey").alias("l_partkey"), "p_size")
-    lifted = F.when(F.col("p_size").isNull(), -1).when(F.col("l_linenumber") % 2 == 0, F.col("p_size") + F.col("l_quantity") - 10).otherwise(F.col("p_size") + 50 - F.col("l_quantity") + 10)
-    return t("lineitem").join(part, "l_partkey", "left").select("l_orderkey", "l_linenumber", "l_partkey", lifted.cast("long").alias("lifted"))
+    size = F.col("p_size").cast("long")
+    copies = t("part").where("p_size < 40").select(F.col("p_partkey").alias("l_partkey"), (F.col("p_size") % 2 == 0).alias("is_rc"), size.alias("cns_start"), (size + 50).alias("cns_end"))
+    points = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("pos"))
+    return relational.lifted(points, copies, ["l_partkey"], "pos", 10, "lifted").drop("pos")
 
 
 @query("""
@@ -176,8 +184,8 @@ def discordant_pairs(t):
 
 @query("SELECT c_custkey, c_nationkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = c_nationkey AND s_acctbal > 8000)")
 def anti_blacklist(t):
-    black = t("supplier").where("s_acctbal > 8000").select(F.col("s_nationkey").alias("c_nationkey")).distinct()
-    return t("customer").join(black, "c_nationkey", "left_anti").select("c_custkey", "c_nationkey")
+    black = t("supplier").where("s_acctbal > 8000").select(F.col("s_nationkey").alias("c_nationkey"))
+    return relational.not_listed(t("customer"), black).select("c_custkey", "c_nationkey")
 
 
 # --- aggregations ------------------------------------------------------------------
@@ -185,7 +193,7 @@ def anti_blacklist(t):
 
 @query("SELECT l_suppkey, l_linenumber, count(*) AS n, array_to_string(list_sort(list(l_partkey)), ',') AS positions FROM lineitem GROUP BY 1, 2")
 def collect_positions(t):
-    return t("lineitem").groupBy("l_suppkey", "l_linenumber").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("l_partkey")).cast("array<string>"), ",").alias("positions"))
+    return relational.positions_of(t("lineitem"), ["l_suppkey", "l_linenumber"], "l_partkey").withColumn("positions", F.array_join(F.col("positions").cast("array<string>"), ","))
 
 
 @query(f"""
@@ -198,7 +206,8 @@ def allele_fraction(t):
 
 @query("SELECT l_suppkey, round(sum(l_quantity) * 150 / 100000, 6) AS coverage, round(avg(l_quantity), 6) AS mean, round(stddev_pop(l_quantity), 6) AS sd FROM lineitem GROUP BY 1")
 def coverage_stat(t):
-    return t("lineitem").groupBy("l_suppkey").agg(F.round(F.sum("l_quantity") * 150 / 100000, 6).alias("coverage"), F.round(F.avg("l_quantity"), 6).alias("mean"), F.round(F.stddev_pop("l_quantity"), 6).alias("sd"))
+    got = relational.coverage(t("lineitem"), ["l_suppkey"], "l_quantity", 150, 100000)
+    return got.select("l_suppkey", *[F.round(c, 6).alias(c) for c in ("coverage", "mean", "sd")])
 
 
 @query("""
@@ -221,12 +230,15 @@ def dedup_first(t):
     return relational.first_per_key(t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey"], ["l_linenumber", "l_partkey"])
 
 
-@query("SELECT lang, r, doc_id, n FROM (SELECT lang, doc_id, length(text) AS n, row_number() OVER (PARTITION BY lang ORDER BY length(text) DESC, doc_id) AS r FROM documents) WHERE r <= 2")
+@query("SELECT lang, r, doc_id, n FROM (SELECT lang, doc_id, length(text) AS n, row_number() OVER (PARTITION BY lang ORDER BY length(text) DESC, doc_id) AS r FROM documents WHERE length(text) > 0) WHERE r <= 2")
 def longest_per_group(t):
-    d = t("documents").select("lang", "doc_id", F.char_length("text").cast("long").alias("n"))
-    one = d.groupBy("lang").agg(F.min_by("doc_id", F.struct(-F.col("n"), F.col("doc_id"))).alias("doc_id"), F.max("n").alias("n")).withColumn("r", F.lit(1).cast("long"))
-    rest = d.join(F.broadcast(one.select("doc_id")), "doc_id", "left_anti").groupBy("lang").agg(F.min_by("doc_id", F.struct(-F.col("n"), F.col("doc_id"))).alias("doc_id"), F.max("n").alias("n")).withColumn("r", F.lit(2).cast("long"))
-    return one.unionByName(rest).select("lang", "r", "doc_id", "n")
+    d = t("documents").withColumn("n", F.char_length("text").cast("long"))
+    return relational.longest(d, ["lang"], "text", "doc_id", 2).select("lang", F.col("r").cast("long").alias("r"), "doc_id", "n")
+
+
+@query("SELECT lang, doc_id, n FROM (SELECT lang, doc_id, length(text) AS n, row_number() OVER (PARTITION BY lang ORDER BY length(text) DESC, doc_id) AS r FROM documents WHERE length(text) > 0) WHERE r = 1")
+def longest_of_group(t):
+    return relational.longest(t("documents").withColumn("n", F.char_length("text").cast("long")), ["lang"], "text", "doc_id").select("lang", "doc_id", "n")
 
 
 @query("SELECT vec_id, label, CAST(bit_count(label) AS INT) AS bits, CAST(xor(label, CAST(5 AS INTEGER)) AS INT) AS delta, concat(CASE WHEN label & 1 > 0 THEN 'N' ELSE '' END, CASE WHEN label & 2 > 0 THEN 'A' ELSE '' END, CASE WHEN label & 4 > 0 THEN 'C' ELSE '' END, CASE WHEN label & 8 > 0 THEN 'G' ELSE '' END, CASE WHEN label & 16 > 0 THEN 'T' ELSE '' END) AS bases FROM embeddings")
@@ -339,9 +351,9 @@ def split_drop_empty(t):
     return t("pages").select("page_id", F.array_join(text.split_any("url", "/:."), "|").alias("tokens"), F.size(text.tokenize("url", "/")).cast("long").alias("n"))
 
 
-@query("SELECT doc_id, length(regexp_replace(concat(' ', text, chr(10)), '^[ \\t\\n\\x0B\\f\\r]+|[ \\t\\n\\x0B\\f\\r]+$', '', 'g')) AS n, coalesce(nullif(regexp_replace(left(text, 20), '^N+|N+$', '', 'g'), ''), 'N') AS head FROM documents")
+@query("SELECT doc_id, length(regexp_replace(concat(' ', text, chr(10)), '^[ \\t\\n\\x0B\\f\\r]+|[ \\t\\n\\x0B\\f\\r]+$', '', 'g')) AS n, md5(coalesce(nullif(regexp_replace(concat('N', text, 'NN'), '^N+|N+$', '', 'g'), ''), 'N')) AS body, md5(trim(text, ' ')) AS plain FROM documents")
 def trim_ws(t):
-    return t("documents").select("doc_id", F.char_length(text.trim(F.concat(F.lit(" "), F.col("text"), F.lit("\n")))).cast("long").alias("n"), sequence.trim_n(F.substring("text", 1, 20)).alias("head"))
+    return t("documents").select("doc_id", F.char_length(text.trim(F.concat(F.lit(" "), F.col("text"), F.lit("\n")))).cast("long").alias("n"), F.md5(sequence.trim_n(F.concat(F.lit("N"), F.col("text"), F.lit("NN"))).cast("binary")).alias("body"), F.md5(F.trim("text").cast("binary")).alias("plain"))
 
 
 @query("SELECT p_partkey, CAST(list_sum([CASE WHEN substr(p_brand, i, 1) <> substr(p_type, i, 1) THEN 1 ELSE 0 END FOR i IN range(1, 6)]) AS INT) AS differing FROM part")
@@ -357,7 +369,7 @@ def poly_run(t):
 @query("SELECT s_suppkey, concat('chr', s_name) AS named, replace(s_name, '#', '_') AS code FROM supplier WHERE NOT regexp_matches(s_name, '[_.]')")
 def decoy_filter(t):
     s = t("supplier").where(~text.is_decoy("s_name"))
-    return s.select("s_suppkey", text.with_chr("s_name", F.lit(True)).alias("named"), F.replace("s_name", F.lit("#"), F.lit("_")).alias("code"))
+    return s.select("s_suppkey", text.with_chr("s_name", F.lit(True)).alias("named"), text.barcode(F.replace("s_name", F.lit("#"), F.lit("-"))).alias("code"))
 
 
 _ACGT = "translate(substr(md5(p_name), 1, 24), '0123456789abcdef', 'ACGTACGTACGTACGT')"
@@ -372,14 +384,12 @@ def kmer_minimizer(t):
 
 
 @query("""
-SELECT l_orderkey, l_linenumber, CAST(1000 + list_sum([CAST(x AS BIGINT) FOR x IN regexp_extract_all(c, '([0-9]+)[MD]', 1)]) AS BIGINT) AS breakpoint, m >= 0.5 * (s + m + 2) AND NOT (s > 6 AND s2 > 6) AS qualified
-FROM (SELECT l_orderkey, l_linenumber, q AS s, p AS m, z AS s2, concat(q, 'S', p, 'M2I', z, 'S') AS c FROM (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS q, l_partkey % 60 + 1 AS p, 3 AS z FROM lineitem))""")
+SELECT l_orderkey, l_linenumber, 1000 + p AS breakpoint, CASE WHEN l_linenumber % 2 = 0 THEN -(1000 + p) ELSE 1000 END AS signed, p >= 0.5 * (q + p + 2 + z) AND NOT (q > 6 AND z > 6) AS qualified, CASE WHEN q > z THEN 'left' WHEN z > q THEN 'right' ELSE 'none' END AS side
+FROM (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) % 25 AS q, l_partkey % 60 + 1 AS p, l_suppkey % 13 AS z FROM lineitem)""")
 def cigar_eval(t):
-    parts = [F.col("l_quantity").cast("long").cast("string"), F.lit("S"), (F.col("l_partkey") % 60 + 1).cast("string"), F.lit("M2I3S")]
+    parts = [(F.col("l_quantity").cast("long") % 25).cast("string"), F.lit("S"), (F.col("l_partkey") % 60 + 1).cast("string"), F.lit("M2I"), (F.col("l_suppkey") % 13).cast("string"), F.lit("S")]
     x = t("lineitem").select("l_orderkey", "l_linenumber", F.lit(1000).cast("long").alias("pos"), cigar.parse(F.concat(*parts)).alias("c"))
-    whole = cigar.total("c", "M") >= 0.5 * (cigar.total(F.filter("c", lambda o: o["len"] != -1), "D", but=True) - F.element_at("c", -1)["len"])
-    ends = (F.element_at("c", 1)["len"] > 6) & (F.element_at("c", -1)["len"] > 6)
-    return x.select("l_orderkey", "l_linenumber", cigar.right_breakpoint("pos", "c").alias("breakpoint"), (whole & ~ends).alias("qualified"))
+    return x.select("l_orderkey", "l_linenumber", cigar.right_breakpoint("pos", "c").alias("breakpoint"), cigar.signed_position("pos", "c", F.col("l_linenumber") % 2 == 0).alias("signed"), cigar.is_qualified("c").alias("qualified"), cigar.longer_clip("c").alias("side"))
 
 
 @query("SELECT doc_id, kind, part FROM (SELECT doc_id, unnest([{'kind': 'uu1', 'part': CASE WHEN n >= 200 THEN substr(text, 1, 25) END}, {'kind': 'uu2', 'part': CASE WHEN n >= 400 THEN right(text, 25) END}, {'kind': 'sc', 'part': CASE WHEN n >= 100 THEN substr(text, 26, 25) END}], recursive := true) FROM (SELECT doc_id, text, length(text) AS n FROM documents)) WHERE part IS NOT NULL")
@@ -390,32 +400,42 @@ def fragments(t):
     return t("documents").select("doc_id", F.explode(F.filter(every, lambda x: x.isNotNull())).alias("f")).select("doc_id", "f.*")
 
 
-@query("SELECT doc_id, substr(text, 51, 50) AS left_flank, substr(text, 102, 49) AS right_flank, length(text) AS n FROM documents WHERE length(text) > 150")
+@query("SELECT doc_id, unnest(['L', 'R']) AS side, unnest([substr(text, 51, 50), substr(text, 102, 49)]) AS bases FROM documents WHERE length(text) > 150")
 def flank_slices(t):
-    site, e = F.lit(100), 50
-    return t("documents").where(F.char_length("text") > 150).select("doc_id", F.substring("text", site - e + 1, F.lit(e)).alias("left_flank"), F.substring("text", site + 2, F.lit(e - 1)).alias("right_flank"), F.char_length("text").cast("long").alias("n"))
+    d = t("documents").where(F.char_length("text") > 150)
+    fasta = d.select(F.col("doc_id").cast("string").alias("name"), F.col("text").alias("seq"))
+    sites = d.select(F.col("doc_id").cast("string").alias("chrom"), F.lit(100).cast("long").alias("pos"))
+    return tables.flanks(fasta, sites, 50).select(F.col("chrom").cast("long").alias("doc_id"), "side", "bases")
 
 
-@query("SELECT CASE WHEN o_orderstatus = 'F' THEN concat_ws(chr(9), o_orderstatus, o_orderkey, o_custkey) WHEN o_orderstatus = 'O' THEN concat_ws(chr(9), o_orderstatus, o_custkey, o_orderkey, o_orderpriority) ELSE concat_ws(chr(9), o_orderstatus, o_orderkey) END AS line FROM orders WHERE o_custkey % 7 <> 0")
+@query("SELECT CASE WHEN o_orderstatus = 'F' THEN concat_ws(chr(9), o_orderstatus, o_orderkey, o_custkey) WHEN o_orderstatus = 'O' THEN concat_ws(chr(9), o_orderstatus, o_custkey, o_orderkey, o_orderpriority) ELSE concat_ws(chr(9), o_orderstatus, o_orderkey) END AS line FROM orders")
 def serialise_event(t):
-    s, k, c = F.col("o_orderstatus"), F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
-    line = F.when(s == "F", F.concat_ws("\t", s, k, c)).when(s == "O", F.concat_ws("\t", s, c, k, "o_orderpriority")).otherwise(F.concat_ws("\t", s, k))
-    return t("orders").where("o_custkey % 7 <> 0").select(line.alias("line"))
+    s, k, c = F.col("o_orderstatus"), F.col("o_orderkey"), F.col("o_custkey")
+    return t("orders").select(tables.as_row(s, {"F": [s, k, c], "O": [s, c, k, F.col("o_orderpriority")]}, [s, k]).alias("line"))
 
 
-@query("SELECT event_id, user_id FROM events WHERE event_type <> 'view' AND value >= 20 AND user_id % 3 <> 0 AND NOT (event_type = 'click' AND value > 80)")
+@query("SELECT event_id, user_id FROM events WHERE event_type <> 'view' AND value >= 20")
 def filter_calls(t):
-    e = t("events")
-    return e.where((F.col("event_type") != "view") & (F.col("value") >= 20) & (F.col("user_id") % 3 != 0) & ~((F.col("event_type") == "click") & (F.col("value") > 80))).select("event_id", "user_id")
+    reads = t("events").select("event_id", "user_id", F.when(F.col("event_type") == "view", 1024).otherwise(0).alias("flag"), F.col("value").alias("mapq"), F.array(F.struct(F.lit("M").alias("op"), F.lit(9).alias("len"))).alias("cigar"))
+    return filter_sites.usable(reads, Params(min_mapq=20)).select("event_id", "user_id")
 
 
-@query()
+@query("""
+WITH x AS (SELECT p_partkey, p_name AS a, p_type AS b FROM part),
+i AS (SELECT p_partkey, a, b, unnest(range(1, length(a) + 1)) AS i FROM x),
+s AS (SELECT p_partkey, i, substr(a, i, n) AS t, n FROM (SELECT p_partkey, a, b, i, unnest(range(1, length(a) - i + 2)) AS n FROM i) WHERE contains(b, substr(a, i, n))),
+m AS (SELECT p_partkey, max(n) AS n FROM s GROUP BY 1)
+SELECT x.p_partkey, coalesce(string_agg(t, '' ORDER BY i), '') AS common FROM x LEFT JOIN m ON x.p_partkey = m.p_partkey LEFT JOIN s ON s.p_partkey = m.p_partkey AND s.n = m.n GROUP BY 1""")
 def longest_common(t):
-    """No SQL: the table of matches is filled step by step."""
-    return t("part").select("p_partkey", sequence.longest_common(F.col("p_name"), F.col("p_type")).alias("common"))
+    return t("part").select("p_partkey", sequence.longest_common("p_name", "p_type").alias("common"))
 
 
-@query()
+@query("""
+WITH x AS (SELECT p_partkey, concat(p_name, p_type, p_brand) AS q FROM part),
+i AS (SELECT p_partkey, q, unnest(range(6, length(q) + 1)) AS i FROM x),
+s AS (SELECT p_partkey, i, sum(99 - unicode(substr(q, i, 1))) OVER (PARTITION BY p_partkey ORDER BY i DESC) AS total FROM i),
+k AS (SELECT p_partkey, i, total FROM (SELECT *, min(total) OVER (PARTITION BY p_partkey ORDER BY i DESC) AS low FROM s) WHERE low >= 0 AND total > 0),
+b AS (SELECT p_partkey, i - 1 AS kept FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY total DESC, i DESC) AS r FROM k) WHERE r = 1)
+SELECT x.p_partkey, CAST(coalesce(kept, length(q)) AS INT) AS kept FROM x LEFT JOIN b ON x.p_partkey = b.p_partkey""")
 def quality_trim(t):
-    """No SQL: the running sum ends at its first negative value."""
     return t("part").select("p_partkey", sequence.bwa_trim_length(F.concat("p_name", "p_type", "p_brand"), 66, least=5).alias("kept"))

@@ -171,6 +171,37 @@ class FastaReader(_Reader):
         return name, seq, len(seq)
 
 
+class FaiReader(_Reader):
+    """The index of FASTA files: name, length, offset of the first base, bases and bytes of a line."""
+
+    suffixes = (".fa", ".fasta")
+    splittable = False
+
+    def records(self, part: Part) -> Iterator[tuple]:
+        files, _ = _open(self.path)
+        name, size, first, bases, width, short, at = None, 0, 0, 0, 0, False, 0
+        with files.open_input_stream(part.path) as source:
+            rest = b""
+            while (block := source.read(BLOCK)) or rest:
+                *whole, rest = (rest + block).split(b"\n") if block else (rest, b"")
+                for line in whole:
+                    n, here = len(line.rstrip(b"\r")), at
+                    at += len(line) + 1
+                    if line.startswith(b">"):
+                        if name is not None:
+                            yield name, size, first, bases, width
+                        name, size, first, bases, width, short = (line[1:].decode().split() or [""])[0], 0, at, 0, 0, False
+                    elif name is not None:
+                        if n and (short or bases and n > bases):
+                            raise ValueError(f"{part.path}: lines of {name} differ in length at byte {here}")
+                        if not bases:
+                            bases, width = n, len(line) + 1
+                        short = n < bases
+                        size += n
+        if name is not None:
+            yield name, size, first, bases, width
+
+
 class FastqReader(_Reader):
     suffixes = (".fq", ".fastq", ".fq.gz", ".fastq.gz")
     splittable = False
@@ -236,9 +267,21 @@ class FastaSource(_Source):
     reader_type, ddl, title = FastaReader, schemas.FASTA, "fasta"
 
 
+class FaiSource(_Source):
+    reader_type, ddl, title = FaiReader, schemas.FAI, "fai"
+
+
 class FastqSource(_Source):
     reader_type, ddl, title = FastqReader, schemas.FASTQ, "fastq"
 
 
 class RmskSource(_Source):
     reader_type, ddl, title = RmskReader, schemas.RMSK, "rmsk"
+
+
+def read_range(path: str, start: int, length: int) -> bytes:
+    """Bytes of a plain file from an offset on."""
+    files, at = _open(path)
+    with files.open_input_file(at) as source:
+        source.seek(start)
+        return source.read(length)

@@ -1,7 +1,7 @@
 import random
 
 from strandline import schemas
-from strandline.operators import ordered
+from strandline.operators import intervals, ordered
 from strandline.plans import filter_sites
 from strandline.streaming import session_islands
 
@@ -63,3 +63,42 @@ def test_session_islands(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r.n for r in spark.sql("SELECT n FROM sessions").collect()) == [1, 2]
+
+
+def test_calls_to_sites_end_to_end(spark):
+    """Two samples; of three called sites one has clips and mates, one clips only, and one too few mates in a sample."""
+    samples = []
+    for sample in range(2):
+        rows = []
+        for site, n in ((1000, 8), (3000, 0), (5000, 8 if sample else 3)):
+            for i in range(4):
+                rows.append(_read(f"l{site}.{i}", 64, site, [("S", 20), ("M", 80)], "1", site + 300))
+                rows.append(_read(f"r{site}.{i}", 64, site - 65, [("M", 80), ("S", 20)], "1", site + 300))
+            for i in range(n):
+                rows.append(_read(f"d{site}.{i}", 64, site - 200 + i, [("M", 100)], "2", 70_000 + i))
+                rows.append(_read(f"d{site}.{i}", 128, 70_000 + i, [("M", 100)], "1", site - 200 + i)[:2] + ("2",) + _read("", 128, 70_000 + i, [("M", 100)], "1", site - 200 + i)[3:])
+        samples.append(spark.createDataFrame(rows, schemas.ALIGNMENT))
+    calls = spark.createDataFrame([("1", 1004, None, 4, 2), ("1", None, 2998, 1, 3), ("1", 5001, 5001, 3, 3), ("1", None, None, 0, 0)], "chr string, pbp long, nbp long, pcr long, ncr long")
+    realign = lambda df: df.withColumn("cns_pos", F.char_length("bases").cast("long"))
+    got = sorted(map(tuple, filter_sites.call_sites(calls, samples, realign).collect()))
+    assert got == [("1", 1000, 15)]
+    assert filter_sites.call_sites(calls.limit(0), samples, realign).count() == 0
+
+
+def test_hot_key_is_spread_over_bins(spark):
+    rng = random.Random(8)
+    points = sorted(rng.randrange(0, 3_000_000) for _ in range(3000))
+    df = spark.createDataFrame([(1, p, 1) for p in points], "g long, p long, n long")
+    got = {r.p: r.sum_n for r in ordered.neighbour_sums(df, ["g"], "p", ["n"], 700, 500).collect()}
+    assert got == {p: sum(p - 700 <= q <= p + 500 for q in points) for p in set(points)}
+    number, last, want = 0, points[0], {}
+    for p in points:
+        number += p - last > 900
+        want[p], last = number, p
+    assert {r.p: r.island for r in ordered.islands(df, ["g"], "p", 900).collect()} == want
+    asked = [rng.randrange(-10, 3_100_000) for _ in range(500)]
+    left = spark.createDataFrame([(1, a) for a in asked] + [(2, 5)], "g long, a long")
+    right = df.where("p > 200000 AND (p < 900000 OR p > 2500000)")
+    known = [p for p in points if 200_000 < p and (p < 900_000 or p > 2_500_000)]
+    seen = intervals.asof_join(left, right, ["g"], "a", "p", ["n"], "_", 1 << 15).collect()
+    assert sorted((r.g, r.a, r._p or -1) for r in seen) == sorted([(1, a, max((p for p in known if p <= a), default=-1)) for a in asked] + [(2, 5, -1)])

@@ -21,22 +21,3 @@ def test_entry(spark):
 def test_position_joins_plan_no_nested_loop(spark):
     plan = registry.queries()["overlap_join"](spark, DATA)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-
-
-def test_longest_common_and_trim_against_plain_loops(spark):
-    part = {r.p_partkey: r for r in spark.read.parquet(f"{DATA}/part.parquet").collect()}
-    for r in registry.queries()["longest_common"](spark, DATA).collect():
-        a, b = part[r.p_partkey].p_name, part[r.p_partkey].p_type
-        n = max((k for k in range(len(a) + 1) for i in range(len(a) - k + 1) if a[i : i + k] in b), default=0)
-        assert r.common == "".join(a[i : i + n] for i in range(len(a) - n + 1) if n and a[i : i + n] in b)
-    for r in registry.queries()["quality_trim"](spark, DATA).collect():
-        p = part[r.p_partkey]
-        q = p.p_name + p.p_type + p.p_brand
-        total, most, keep = 0, 0, len(q)
-        for i in range(len(q), 5, -1):
-            total += 66 + 33 - ord(q[i - 1])
-            if total < 0:
-                break
-            if total > most:
-                most, keep = total, i - 1
-        assert r.kept == keep
