@@ -10,23 +10,23 @@ from strandline.functions import col
 
 def parse(text) -> Column:
     """From text; `*`, null and anything that is no CIGAR give an empty array."""
-    t = F.coalesce(col(text), F.lit("*"))
+    t = col(text)
     ops = F.split(F.translate(t, "0123456789", ""), "")
     sizes = F.split(F.rtrim(t, F.lit("MIDNSHP=X")), "[MIDNSHP=X]").cast("array<int>")
-    empty = F.array().cast("array<struct<op:string,len:int>>")
-    return F.when(t.rlike("^([0-9]+[MIDNSHP=X])+$"), F.arrays_zip(ops, sizes).cast("array<struct<op:string,len:int>>")).otherwise(empty)
+    return F.when(t.rlike("^([0-9]+[MIDNSHP=X])+$"), F.arrays_zip(ops, sizes).cast("array<struct<op:string,len:int>>")).otherwise(F.array().cast("array<struct<op:string,len:int>>"))
 
 
 def total(cigar, *ops: str, but: bool = False) -> Column:
     """Summed length of the ops given, or of all but these."""
     wanted = lambda x: ~x["op"].isin(*ops) if but else x["op"].isin(*ops)
-    return F.aggregate(F.filter(col(cigar), wanted), F.lit(0), lambda acc, x: acc + x["len"])
+    return F.aggregate(col(cigar), F.lit(0), lambda acc, x: acc + F.when(wanted(x), x["len"]).otherwise(0))
 
 
 def right_breakpoint(pos, cigar) -> Column:
     """Position plus all ops but the last, without S, H and I."""
     c = col(cigar)
-    return col(pos) + total(F.slice(c, 1, F.greatest(F.size(c) - 1, F.lit(0))), "S", "H", "I", but=True)
+    last = F.try_element_at(c, F.lit(-1))
+    return col(pos) + total(c, "S", "H", "I", but=True) - F.when((F.size(c) > 0) & ~last["op"].isin("S", "H", "I"), last["len"]).otherwise(0)
 
 
 def signed_position(pos, cigar, reverse) -> Column:

@@ -26,11 +26,15 @@ def _plain(kmer: Column) -> Column:
 def minimizer(s, k: int) -> Column:
     """The least of all k-mers without ambiguous or low-complexity bases, each as the lesser of both strands; null if there is none."""
     text = col(s)
-    back = reverse_complement(text)
-    n = F.char_length(text)
-    both = F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i: F.struct(F.substring(text, i, F.lit(k)).alias("a"), F.substring(back, n - i - (k - 2), F.lit(k)).alias("b")))
-    usable = F.filter(both, lambda x: _plain(x["a"]))
-    return F.when(n >= k, F.array_min(F.transform(usable, lambda x: F.least(x["a"], x["b"]))))
+
+    def least(x):
+        """Of a struct of both strands, which is there once and not anew for each k-mer."""
+        n = F.char_length(x["a"])
+        both = F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i: F.struct(F.substring(x["a"], i, F.lit(k)).alias("a"), F.substring(x["b"], n - i - (k - 2), F.lit(k)).alias("b")))
+        return F.array_min(F.transform(F.filter(both, lambda y: _plain(y["a"])), lambda y: F.least(y["a"], y["b"])))
+
+    strands = F.array(F.struct(text.alias("a"), reverse_complement(text).alias("b")))
+    return F.when(F.char_length(text) >= k, F.transform(strands, least)[0])
 
 
 def anchored_minimizer(s, k: int, base: str) -> Column:
