@@ -66,15 +66,16 @@ def anchors(tests: DataFrame, counts: DataFrame, lists: int = LISTS) -> DataFram
 def index(docs: DataFrame, terms: DataFrame, around: int = WINDOW - 1) -> DataFrame:
     """The stored postings of the terms: (row, doc_id, term, pos from 1, first, near), near: the words from place first on.
 
-    Each document also has a posting of the empty term, whose pos is its number of words.
+    Each document also has a posting of the empty term, whose pos is its number of words and whose mark is a hash of its text.
     """
-    texts = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), words().alias("w")).withColumn("n", F.size("w"))
+    texts = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("mark"), words().alias("w")).withColumn("n", F.size("w"))
     places = texts.select("*", F.posexplode(F.concat("w", F.array(F.lit("")))).alias("at", "term"))
     first = F.greatest(F.col("at") + 1 - around, F.lit(1))
     near = F.when(F.col("term") == "", F.array().cast("array<string>")).otherwise(F.slice("w", first, F.lit(2 * around + 1)))
     pos = F.when(F.col("term") == "", F.col("n")).otherwise(F.col("at") + 1)
     wanted = stored(terms.select("term").union(docs.sparkSession.sql("SELECT '' AS term")).distinct(), "decontamination-terms")
-    return stored(places.join(ids_hint(wanted), "term").select("row", "doc_id", "term", pos.alias("pos"), first.alias("first"), near.alias("near")), "decontamination-index")
+    mark = F.when(F.col("term") == "", F.col("mark"))
+    return stored(places.join(ids_hint(wanted), "term").select("row", "doc_id", "term", pos.alias("pos"), first.alias("first"), near.alias("near"), mark.alias("mark")), "decontamination-index")
 
 
 def phrases(postings: DataFrame, tests: DataFrame, places: DataFrame) -> DataFrame:
@@ -113,20 +114,20 @@ def covered(intervals: Column) -> Column:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted), for every document."""
+    """doc_id, mark (a hash of the text), n_words, n_hit, items (sorted), for every document."""
     tests = stored(windows(benchmark, width), "decontamination-windows")
     terms = stored(tests.select(F.explode("terms").alias("term")).distinct(), "decontamination-vocabulary")
     counts = stored(frequencies(docs, terms), "decontamination-frequencies")
     places = stored(anchors(tests, counts), "decontamination-anchors")
     postings = index(docs, places.select("term").distinct(), width - 1)
     hits = phrases(postings.where(F.col("term") != ""), tests, places)
-    hits = hits.join(ids_hint(tests.select("window", "items")), "window").select("row", "doc_id", F.lit(None).cast("long").alias("words"), F.struct("start", "size").alias("at"), "items")
-    every = postings.where(F.col("term") == "").select("row", "doc_id", F.col("pos").cast("long").alias("words"), F.lit(None).cast("struct<start:int,size:int>").alias("at"), F.lit(None).cast("array<string>").alias("items"))
+    hits = hits.join(ids_hint(tests.select("window", "items")), "window").select("row", "doc_id", F.lit(None).cast("long").alias("words"), F.lit(None).cast("long").alias("mark"), F.struct("start", "size").alias("at"), "items")
+    every = postings.where(F.col("term") == "").select("row", "doc_id", F.col("pos").cast("long").alias("words"), "mark", F.lit(None).cast("struct<start:int,size:int>").alias("at"), F.lit(None).cast("array<string>").alias("items"))
     return (
         every.unionByName(hits)
         .groupBy("row", "doc_id")
-        .agg(F.max("words").alias("n_words"), F.collect_set("at").alias("at"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
-        .select("doc_id", "n_words", covered(F.col("at")).alias("n_hit"), "items")
+        .agg(F.max("words").alias("n_words"), F.max("mark").alias("mark"), F.collect_set("at").alias("at"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+        .select("doc_id", "mark", "n_words", covered(F.col("at")).alias("n_hit"), "items")
     )
 
 
@@ -139,9 +140,10 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `docs` without any benchmark passage, with its columns; rows with a null doc_id stay."""
-    hit = stored(contamination(docs, benchmark).where("n_hit > 0").select("doc_id").distinct(), "decontamination-hits")
-    return docs.join(ids_hint(hit), "doc_id", "left_anti").select(*docs.columns)
+    """The rows of `docs` without any benchmark passage, with its columns; each row by its own text, whatever its doc_id."""
+    hit = stored(contamination(docs, benchmark).where("n_hit > 0").select(F.col("doc_id").alias("_id"), "mark").distinct(), "decontamination-hits")
+    hit = ids_hint(hit)
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_id"]) & (F.xxhash64(docs["text"]) == hit["mark"]), "left_anti").select(*docs.columns)
 
 
 ORACLE = r"""

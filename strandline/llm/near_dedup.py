@@ -430,3 +430,17 @@ def kept(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     whole = F.struct(*[F.col(c) for c in docs.columns])
     one = rows.join(ids_hint(again), "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(whole, F.struct(F.col("text"), F.to_json(whole))).alias("_row")).select("_row.*")
     return rows.join(ids_hint(again), "doc_id", "left_anti").select(*docs.columns).unionByName(one)
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+m AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM m JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * shared >= 85 * (na.n + nb.n - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a AS x, b AS y FROM e UNION SELECT r.x, e.b FROM r JOIN e ON r.y = e.a),
+c AS (SELECT x, min(y) AS least FROM r GROUP BY 1)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(w.doc_id, coalesce(least, w.doc_id)) AS component_id, w.doc_id = least(w.doc_id, coalesce(least, w.doc_id)) AS kept
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN c ON w.doc_id = c.x
+"""

@@ -41,4 +41,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": decontamination.ORACLE, "op3_secret_scan": secret_scan.ORACLE, "op6_warc": warc_bundles.ORACLE}
+    return {
+        "op1_decontamination": decontamination.ORACLE,
+        "op3_secret_scan": secret_scan.ORACLE,
+        "op4_suffix_dedup": suffix_dedup.ORACLE,
+        "op5_near_dedup": near_dedup.ORACLE,
+        "op6_warc": warc_bundles.ORACLE,
+    }

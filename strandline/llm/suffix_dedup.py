@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import textbuf
-from strandline.llm.store import frugal, ids_hint, parts, stored
+from strandline.llm.store import frugal, ids_hint, parts, shared_dir, stored
 
 LENGTH = 50
 GRAM = 16
@@ -441,8 +441,9 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text")
     same = F.sha2(rows["text"], 256).eqNullSafe(whole["digest"]) & rows["doc_id"].eqNullSafe(whole["doc_id"])
     gone = rows.join(whole, same, "left_semi").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"))
-    rows.join(whole, same, "left_anti").mapInArrow(_pack(buckets), _TABLE).write.bucketBy(buckets, "segment").saveAsTable(name)
+    rows.join(whole, same, "left_anti").mapInArrow(_pack(buckets), _TABLE).write.bucketBy(buckets, "segment").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
     packed = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay, and the frame knows their buckets
     owners = packed.where("bucket = -1").select("segment", "docs")
     asked = packed.where("bucket >= 0").select("segment", "bucket", "hashes")
     answers = stored(asked.groupBy("bucket").applyInArrow(_repeated, "segment string, bucket int, repeated binary, hot binary"), "suffix-answers")
@@ -456,3 +457,16 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
     return deduplicated(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+s AS (SELECT doc_id, i, substr(h, 2 * i - 1, {2 * LENGTH}) AS x FROM (SELECT doc_id, h, unnest(range(1, n - {LENGTH - 2})) AS i FROM d)),
+f AS (SELECT x, min(doc_id) AS first FROM s GROUP BY 1),
+g AS (SELECT s.doc_id, i FROM s JOIN f ON s.x = f.x WHERE first < s.doc_id),
+b AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= {LENGTH} THEN 0 ELSE 1 END AS new FROM g),
+r AS (SELECT doc_id, min(i) AS low, max(i) + {LENGTH - 1} AS high FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM b) GROUP BY doc_id, run),
+p AS (SELECT doc_id, low, high, lag(high, 1, 0) OVER (PARTITION BY doc_id ORDER BY low) AS before FROM r),
+k AS (SELECT d.doc_id, sum(high - low + 1) AS removed, count(*) AS spans, concat(string_agg(substr(h, 2 * before + 1, 2 * (low - before - 1)), '' ORDER BY low), substr(any_value(h), 2 * max(high) + 1)) AS kept FROM p JOIN d ON p.doc_id = d.doc_id GROUP BY 1)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
