@@ -461,7 +461,8 @@ def report(docs: DataFrame) -> DataFrame:
 
 ORACLE = f"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
-s AS (SELECT doc_id, i, substr(h, 2 * i - 1, {2 * LENGTH}) AS x FROM (SELECT doc_id, h, unnest(range(1, n - {LENGTH - 2})) AS i FROM d)),
+c AS (SELECT doc_id, n, c, substr(h, 2 * c + 1, {2000 + 2 * LENGTH}) AS h FROM (SELECT doc_id, n, h, unnest(range(0, n, 1000)) AS c FROM d)),
+s AS (SELECT doc_id, c + i AS i, substr(h, 2 * i - 1, {2 * LENGTH}) AS x FROM (SELECT doc_id, c, h, unnest(range(1, least(1000, n - c - {LENGTH - 1}) + 1)) AS i FROM c)),
 f AS (SELECT x, min(doc_id) AS first FROM s GROUP BY 1),
 g AS (SELECT s.doc_id, i FROM s JOIN f ON s.x = f.x WHERE first < s.doc_id),
 b AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= {LENGTH} THEN 0 ELSE 1 END AS new FROM g),
