@@ -212,6 +212,8 @@ def _packed(classes: DataFrame, buckets: int, limit: Limit) -> DataFrame:
             rows = [(b, *(c[to[b] : to[b + 1]].tobytes() for c in columns), edges[at[b] : at[b + 1]].tobytes()) for b in range(buckets) if to[b] < to[b + 1] or at[b] < at[b + 1]]
             for first in range(0, len(rows), 128):
                 yield pa.record_batch([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows[first : first + 128], strict=True))], ["bucket", *_FIELDS, "edges"])
+            del keys, row, order, stays, low, high, hot, columns, rows
+            textbuf.given_back()
 
     return classes.select("rep", "n", "sig").mapInArrow(run, _PACKED)
 
@@ -223,7 +225,7 @@ def _forests(limit: Limit, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
         for name, held in parts.items():
             held += batch.column(name).to_pylist()
     sent = np.frombuffer(b"".join(parts.pop("edges")), "<i8").reshape(-1, 2)
-    keys, reps, lows, highs, bits, more, hot = (np.frombuffer(b"".join(parts[name]), t) for name, t in _FIELDS.items())
+    keys, reps, lows, highs, bits, more, hot = (np.frombuffer(b"".join(parts.pop(name)), t) for name, t in _FIELDS.items())
     order = np.argsort(keys, kind="stable")
     same = keys[order][1:] == keys[order][:-1]
     shared = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])] if len(order) else order
@@ -343,7 +345,8 @@ def _held(docs: DataFrame, roles: DataFrame, limit: Limit) -> DataFrame:
     members = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(worded).join(ids_hint(roles), "doc_id").select(*_ROLE, "text")
 
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _confirm(limit, key, batches)
+        yield from _confirm(limit, key, batches)
+        textbuf.given_back()
 
     return stored(members.groupBy("task", "many", "component").applyInArrow(run, "component long, many boolean, a long, b long").where("a <> b").distinct(), "near-confirmed")
 
@@ -395,7 +398,8 @@ def groups(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     limit = Limit(similarity)
 
     def forests(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _forests(limit, batches)
+        yield from _forests(limit, batches)
+        textbuf.given_back()
 
     marks = stored(sketch(docs), "near-sketch")
     own = marks.where("n > 0 AND doc_id IS NOT NULL")

@@ -8,6 +8,7 @@ Python work is needed. Nulls count as empty texts.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,6 +31,14 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def given_back() -> None:
+    """Give freed memory back to the system: a worker outlives its task, and the allocators would keep the task's peak until then."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about `limit` bytes of text each, one row at least."""
     for batch in batches:
@@ -43,6 +52,7 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = PIECE_BY
             yield batch.slice(at, to - at)
             at = to
         pa.default_memory_pool().release_unused()
+    given_back()
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
