@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandline.llm import textbuf
 from strandline.llm.store import frugal
 
 MARK = "▁"
@@ -197,13 +198,19 @@ _codecs: dict[str, Codec] = {}
 
 
 def _codec(digest: str, shared) -> Codec:
-    """The codec of a worker for the model with this digest; a worker holds the last one only."""
+    """The codec of a worker for the model with this digest; a worker holds the last one only, until its task ends."""
     if digest not in _codecs:
         _codecs.clear()
         _codecs[digest] = Codec(shared.value)
     return _codecs[digest]
 
 
+def _released() -> None:
+    """Drop the codec at the end of a task: idle workers would keep its automaton and words beside later operators."""
+    _codecs.clear()
+    textbuf.given_back()
+
+
 def _digest(table: PieceTable) -> str:
     return hashlib.sha256(repr(table.pieces).encode()).hexdigest()
 
@@ -224,6 +231,8 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "ids
             values = pa.array(np.frombuffer(b"".join(g or b"" for g in got), "<i4"))
             mask = pa.array([g is None for g in got], pa.bool_())
             yield pa.ListArray.from_arrays(pa.array(offsets), values, mask=mask)
+        del codec
+        _released()
 
     return docs.withColumn(out, run(F.col(text)))
 
@@ -239,6 +248,8 @@ def decode(docs: DataFrame, model_path: str, ids: str = "ids", out: str = "decod
         codec = _codec(digest, shared)
         for arrays in batches:
             yield codec.decode_all(arrays)
+        del codec
+        _released()
 
     return docs.withColumn(out, run(F.col(ids)))
 

@@ -33,6 +33,8 @@ LOWER[65:91] += 32
 
 def given_back() -> None:
     """Give freed memory back to the system: a worker outlives its task, and the allocators would keep the task's peak until then."""
+    if _powers and len(_powers[0][0]) > 2 * PIECE_BYTES:  # grown for a long text
+        _powers.clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
     if trim is not None:
