@@ -50,8 +50,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = sentencepiece_codec.default_model()
-    both = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, model), model)
+    both = sentencepiece_codec.encode_decode(docs, sentencepiece_codec.default_model())
     return both.select("doc_id", "source", "lang", "ids", F.size("ids").cast("long").alias("n_pieces"), F.col("decoded").eqNullSafe(F.col("text")).alias("exact"))
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import textbuf
-from strandline.llm.store import frugal
+from strandline.llm.store import frugal, free_name
 
 MARK = "▁"
 _LOW = float("-inf")
@@ -165,6 +165,14 @@ class Codec:
             got = [self.encode_unit(u) if g is None else g for u, g in zip(units, got, strict=True)]
         return b"".join(got)
 
+    def encode_all(self, texts: pa.Array) -> pa.ListArray:
+        """The id lists of all texts."""
+        got = [None if t is None else self.encode(t) for t in texts.to_pylist()]
+        offsets = np.zeros(len(got) + 1, np.int32)
+        np.cumsum([len(g or b"") // 4 for g in got], out=offsets[1:])
+        values = pa.array(np.frombuffer(b"".join(g or b"" for g in got), "<i4"))
+        return pa.ListArray.from_arrays(pa.array(offsets), values, mask=pa.array([g is None for g in got], pa.bool_()))
+
     def decode(self, ids: list[int]) -> str:
         raw = b"".join([self.surface[i] for i in ids])
         if self.prefix and raw[:1] == b" ":
@@ -225,12 +233,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "ids
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(digest, shared)
         for texts in batches:
-            got = [None if t is None else codec.encode(t) for t in texts.to_pylist()]
-            offsets = np.zeros(len(got) + 1, np.int32)
-            np.cumsum([len(g or b"") // 4 for g in got], out=offsets[1:])
-            values = pa.array(np.frombuffer(b"".join(g or b"" for g in got), "<i4"))
-            mask = pa.array([g is None for g in got], pa.bool_())
-            yield pa.ListArray.from_arrays(pa.array(offsets), values, mask=mask)
+            yield codec.encode_all(texts)
         del codec
         _released()
 
@@ -254,9 +257,28 @@ def decode(docs: DataFrame, model_path: str, ids: str = "ids", out: str = "decod
     return docs.withColumn(out, run(F.col(ids)))
 
 
+def encode_decode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """`docs` with the piece ids of `text` and the text that these ids decode to: one function, so that a task needs one worker, not two."""
+    spark = frugal(docs).sparkSession
+    table = PieceTable.load(model_path)
+    digest, shared = _digest(table), spark.sparkContext.broadcast(table)
+
+    @F.arrow_udf("ids array<int>, decoded string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        codec = _codec(digest, shared)
+        for texts in batches:
+            arrays = codec.encode_all(texts)
+            yield pa.StructArray.from_arrays([arrays, codec.decode_all(arrays)], ["ids", "decoded"])
+        del codec
+        _released()
+
+    both = free_name([*docs.columns, ids, out], "_pieces")
+    return docs.withColumn(both, run(F.col(text))).withColumns({ids: F.col(both)["ids"], out: F.col(both)["decoded"]}).drop(both)
+
+
 def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
     """doc_id, n_pieces, ids_sha256 (of the ids in decimal, comma-joined), n_bytes_decoded and exact (the decoded text equals the text)."""
-    both = decode(encode(docs.select("doc_id", "text"), model_path), model_path)
+    both = encode_decode(docs.select("doc_id", "text"), model_path)
     return both.select(
         "doc_id",
         F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"),

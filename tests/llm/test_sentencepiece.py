@@ -54,6 +54,15 @@ def test_round_trip_of_odd_rows(spark):
     assert sp.round_trip(docs.limit(0), sp.default_model()).count() == 0
 
 
+def test_one_function_gives_what_encoding_and_decoding_give(spark):
+    texts = [None, "", "a  b ", "größe \U0001f600\n\n▁ end", "the and the"]
+    docs = spark.createDataFrame([Row(doc_id=i, text=t, _pieces=1, ids=[9]) for i, t in enumerate(texts)], "doc_id long, text string, _pieces int, ids array<int>")
+    apart = sp.decode(sp.encode(docs, sp.default_model()), sp.default_model())
+    both = sp.encode_decode(docs, sp.default_model())
+    assert both.columns == apart.columns
+    assert sorted(both.collect()) == sorted(apart.collect())
+
+
 def test_decoding_bytes_that_are_not_text(spark, codec):
     ids = [codec.bytes_id[0xFF], codec.bytes_id[0x41]]
     assert codec.decode(ids) == "�A"
