@@ -2,28 +2,32 @@
 
 Every string of LENGTH bytes has an anchor, the least hashed GRAM-byte gram in
 it, whose place depends on the string alone. So equal strings have equal anchors
-at equal places, and only suffixes at anchors have to be sorted. A suffix comes
-with its context: all bytes of the strings that it anchors.
+at equal places, and only suffixes at anchors have to be sorted. The strings of an
+anchor are told apart by where it is in them: in those that have it in their first
+REACH bytes the KEY bytes from the anchor on are their key, in the others the KEY
+bytes from REACH bytes before it. So an anchor makes one place or two; a key lies
+in each string of its place as a whole, and is far rarer than a gram. A suffix
+(from the place) comes with its context: all bytes of the strings of the place.
 
 0. Of exact copies only that of the least doc_id takes part; the others are
    removed as a whole (all their strings are in it).
-1. Texts are packed into segments (about SEGMENT_BYTES each), a bucketed table,
-   and each segment sends the hashes of its anchors to buckets, which answer for
-   each hash whether other segments have it too. Anchors that only one document
-   has are done with.
-2. A segment sorts the contexts of its remaining anchors, keeps one of equal ones
+1. Texts and their anchors are packed into segments (about SEGMENT_BYTES each), a
+   bucketed table, and each segment sends the hashes of its keys to buckets, which
+   answer for each hash whether other segments have it too. Keys that only one
+   document has are done with.
+2. A segment sorts the contexts of its remaining places, keeps one of equal ones
    (that of the least doc_id) and sends the sorted run, front-coded, to buckets.
 3. A bucket merges its runs with a loser tree. Each loser keeps the length of the
    prefix that it shares with the winner it lost to; a longer one wins without a
    look at the bytes, and equal ones are compared from there on, so no known
-   prefix is compared again. Contexts with the same anchor gram come out next to
+   prefix is compared again. Contexts with the same key come out next to
    each other; of equal strings all but those of the least doc_id are removed,
    and the segments are told which.
 4. Segments mark what is removed and cut it out.
 
-Grams in more than HOT_SEGMENTS segments are sent as single strings instead of
+Keys in more than HOT_SEGMENTS segments are sent as single strings instead of
 contexts, one of equal ones a segment: these are spread by their own content, so
-a very common gram lands in no single task.
+a very common key lands in no single task.
 
 Edge cases: a null text is an empty one, of 0 bytes; texts shorter than LENGTH
 are kept whole; rows that share a doc_id don't remove each other's strings, nor
@@ -35,6 +39,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import cached_property
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -46,50 +52,67 @@ from strandline.llm import textbuf
 from strandline.llm.store import frugal, ids_hint, parts, shared_dir, stored
 
 LENGTH = 50
-GRAM = 16
+GRAM = 8
 #: Windows that an anchor can stand for: it is within one string of each.
 WIDTH = LENGTH - GRAM + 1
+#: Bytes of a key, and the strings that a place can stand for: twice as many are WIDTH at least.
+KEY = (LENGTH + GRAM) // 2
+REACH = LENGTH - KEY + 1
 SEGMENT_BYTES = 2 << 20
 HOT_SEGMENTS = 4096
-#: A context as a row of bytes: kind, suffix from the anchor, bytes before it (backwards), both lengths.
-ROW = 1 + LENGTH + WIDTH - 1 + 2
+#: A context as a row of bytes: kind, suffix from the place, bytes before it (backwards), both lengths.
+ROW = 1 + LENGTH + REACH - 1 + 2
 CONTEXT, STRING = 1, 2
 #: Positions that are hashed at once, so that the work stays in the CPU's cache.
 BLOCK = 1 << 16
+#: Rows of runs that are decoded at once.
+DECODED = 1 << 13
 _PLACE_BITS = 31
 _BASE = 0x9E3779B97F4A7C15
 _NO_ID = (1 << 63) - 1
 
 
 class Segment:
-    """The texts of a segment and their anchors."""
+    """The texts of a segment, their anchors, and the places of the keys."""
 
-    def __init__(self, ids: np.ndarray, offs: np.ndarray, data: np.ndarray):
-        """Anchors: hash, place at, first and last start (lo, hi) of the strings they stand for, doc (number)."""
+    def __init__(self, ids: np.ndarray, offs: np.ndarray, data: np.ndarray, anchors: np.ndarray | None = None):
+        """Places: at, first and last start (lo, hi) of the strings they stand for, doc (number), hash of the key.
+
+        anchors: for each anchor in order, how many strings it stands for and its distance from the first one's start.
+        """
         self.ids, self.offs, self.data = ids, offs, data
-        n = len(data)
-        blocks = [_anchors(data[s : s + BLOCK + LENGTH - 1], s) for s in range(0, max(0, n - LENGTH + 1), BLOCK)]
-        anchor = np.concatenate([b[0] for b in blocks]) if blocks else np.zeros(0, np.int64)
-        hashed = np.concatenate([b[1] for b in blocks]) if blocks else np.zeros(0, np.uint64)
-        ends = np.repeat(offs[1:], np.diff(offs))[: len(anchor)]
-        start = np.flatnonzero(np.arange(len(anchor)) + LENGTH <= ends)
-        at = anchor[start]
-        new = np.ones(len(start), bool)
-        new[1:] = (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1)
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(start)) - 1 if len(start) else first
-        self.at, self.lo, self.hi = at[first], start[first], start[last]
-        self.doc = np.searchsorted(offs, self.lo, "right") - 1
-        self.hash = hashed[start[first]]
+        strings = np.concatenate([[0], np.cumsum(np.maximum(np.diff(offs) - LENGTH + 1, 0))])
+        self.anchors = _anchors_of(offs, data) if anchors is None else anchors
+        ends = np.cumsum(self.anchors[:, 0], dtype=np.int64)
+        first = ends - self.anchors[:, 0]
+        doc = np.searchsorted(strings, first, "right") - 1
+        lo = first - strings[doc] + offs[doc]
+        hi, at = lo + self.anchors[:, 0] - 1, lo + self.anchors[:, 1]
+        near, far = np.flatnonzero(at - hi < REACH), np.flatnonzero(at - lo >= REACH)
+        self.at = np.concatenate([at[near], at[far] - REACH])
+        self.lo = np.concatenate([np.maximum(lo[near], at[near] - REACH + 1), lo[far]])
+        self.hi = np.concatenate([hi[near], np.minimum(hi[far], at[far] - REACH)])
+        self.doc = np.concatenate([doc[near], doc[far]])
+        self.hash = _key_hash(data, self.at)
+        self.doc_anchors = np.bincount(doc, minlength=len(ids))
+
+    def pack(self) -> bytes:
+        sink = pa.BufferOutputStream()
+        offs = 2 * np.concatenate([[0], np.cumsum(self.doc_anchors)])
+        out = pa.table({"doc_id": pa.array(self.ids), "text": _binary(self.offs, self.data), "anchors": _binary(offs, np.ascontiguousarray(self.anchors))})
+        with pa.ipc.new_stream(sink, out.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+            w.write_table(out)
+        return sink.getvalue().to_pybytes()
 
     @classmethod
     def unpack(cls, packed: bytes) -> Segment:
         table = pa.ipc.open_stream(packed).read_all().combine_chunks()
         data, offs = textbuf.buffers(table.column("text").combine_chunks())
-        return cls(table.column("doc_id").to_numpy(), offs, data)
+        return cls(table.column("doc_id").to_numpy(), offs, data, textbuf.buffers(table.column("anchors").combine_chunks())[0].reshape(-1, 2))
 
+    @cached_property
     def grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(distinct hashes; number of each anchor's; whether two documents of the segment have it)."""
+        """(distinct hashes; number of each place's; whether two documents of the segment have it)."""
         hashes, number = np.unique(self.hash, return_inverse=True)
         low, high = np.full(len(hashes), 1 << 62), np.full(len(hashes), -1)
         np.minimum.at(low, number, self.doc)
@@ -97,8 +120,8 @@ class Segment:
         return hashes, number, low != high
 
     def entries(self, repeated: np.ndarray, hot: np.ndarray) -> Entries:
-        """The contexts of the anchors whose hash is repeated; of hot ones their single strings."""
-        _, number, local = self.grams()
+        """The contexts of the places whose hash is repeated; of hot ones their single strings."""
+        _, number, local = self.grams
         pick = (repeated | local)[number]
         own = np.flatnonzero(pick & ~hot[number])
         at, lo, hi, doc, of = (x[own] for x in (self.at, self.lo, self.hi, self.doc, self.hash))
@@ -108,13 +131,13 @@ class Segment:
             s = np.repeat(self.lo[single] - np.cumsum(n) + n, n) + np.arange(n.sum())
             at, lo, hi, doc = (np.concatenate(x) for x in ((at, s), (lo, s), (hi, s), (doc, np.repeat(self.doc[single], n))))
         rows = np.zeros((len(at), ROW), np.uint8)
-        padded = np.concatenate([np.zeros(WIDTH, np.uint8), self.data, np.zeros(LENGTH, np.uint8)])
+        padded = np.concatenate([np.zeros(REACH, np.uint8), self.data, np.zeros(LENGTH, np.uint8)])
         for s in range(0, len(at), 4096):
-            a, size, before = at[s : s + 4096, None] + WIDTH, (hi - at)[s : s + 4096, None] + LENGTH, (at - lo)[s : s + 4096, None]
+            a, size, before = at[s : s + 4096, None] + REACH, (hi - at)[s : s + 4096, None] + LENGTH, (at - lo)[s : s + 4096, None]
             part = rows[s : s + 4096]
             part[:, 0] = CONTEXT
             part[:, 1 : 1 + LENGTH] = padded[a + np.arange(LENGTH)] * (np.arange(LENGTH) < size)
-            part[:, 1 + LENGTH : -2] = padded[a - 1 - np.arange(WIDTH - 1)] * (np.arange(WIDTH - 1) < before)
+            part[:, 1 + LENGTH : -2] = padded[a - 1 - np.arange(REACH - 1)] * (np.arange(REACH - 1) < before)
             part[:, -2:] = np.concatenate([size, before + 1], axis=1)
         if len(single):
             rows[len(own) :, 0] = STRING
@@ -142,8 +165,35 @@ def _least(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _anchors(data: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each string of LENGTH bytes: the place of its anchor, counted from `first`, and the anchor's hash."""
+def _binary(offs: np.ndarray, data: np.ndarray) -> pa.LargeBinaryArray:
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offs) - 1, [None, pa.py_buffer(offs.astype(np.int64)), pa.py_buffer(data)])
+
+
+def _key_hash(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hash of the KEY bytes from each place on, eight bytes at a time."""
+    words = np.ndarray((max(0, len(data) - 7),), "<u8", data, strides=(1,)) if len(data) >= 8 else np.zeros(0, np.uint64)
+    h = np.full(len(at), _BASE, np.uint64)
+    for k in [*range(0, KEY - 7, 8), KEY - 8]:
+        h = textbuf.mix(h * np.uint64(_BASE) ^ words[at + k])
+    return h
+
+
+def _anchors_of(offs: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """For each anchor of the texts in order: how many strings it stands for, and its distance from the first one's start."""
+    n = len(data)
+    blocks = [_anchors(data[s : s + BLOCK + LENGTH - 1], s) for s in range(0, max(0, n - LENGTH + 1), BLOCK)]
+    anchor = np.concatenate(blocks) if blocks else np.zeros(0, np.int64)
+    ends = np.repeat(offs[1:], np.diff(offs))[: len(anchor)]
+    start = np.flatnonzero(np.arange(len(anchor)) + LENGTH <= ends)
+    at = anchor[start]
+    new = np.ones(len(start), bool)
+    new[1:] = (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1)
+    first = np.flatnonzero(new)
+    return np.stack([np.diff(first, append=len(start)), at[first] - start[first]], axis=1).astype(np.uint8)
+
+
+def _anchors(data: np.ndarray, first: int) -> np.ndarray:
+    """For each string of LENGTH bytes: the place of its anchor, counted from `first`."""
     n = len(data)
     # grams of 1, 2, 4 ... bytes are joined to grams of GRAM bytes
     part, size, power = data.astype(np.uint64) + np.uint64(1), 1, _BASE
@@ -165,8 +215,7 @@ def _anchors(data: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
         step *= 2
     if step < WIDTH:
         least = np.minimum(least[: len(least) - (WIDTH - step)], least[WIDTH - step :])
-    place = (least & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
-    return place + first, textbuf.mix(h[place] ^ np.uint64(_BASE))  # least hashes are small: mixed again they spread over the buckets
+    return (least & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64) + first
 
 
 def lcp(a: bytes, b: bytes, known: int) -> int:
@@ -176,10 +225,11 @@ def lcp(a: bytes, b: bytes, known: int) -> int:
     return known + (8 * (n - known) - differ.bit_length()) // 8 if differ else n
 
 
-def front_coded(rows: np.ndarray) -> tuple[bytes, bytes]:
-    """(lengths of the prefixes that sorted rows share with the one before, the rests)."""
+def front_coded(rows: np.ndarray, first: np.ndarray | int = 0) -> tuple[bytes, bytes]:
+    """(lengths of the prefixes that sorted rows share with the one before, the rests); first: rows with which a run begins."""
     differ = rows[1:] != rows[:-1]
     shared = np.concatenate([[0], np.where(differ.any(axis=1), differ.argmax(axis=1), ROW)]).astype(np.uint8)
+    shared[first] = 0
     return shared.tobytes(), rows[np.arange(ROW) >= shared[:, None]].tobytes()
 
 
@@ -193,6 +243,20 @@ def decoded(shared: bytes, rests: bytes) -> list[bytes]:
     return [raw[i : i + ROW] for i in range(0, len(raw), ROW)]
 
 
+def all_decoded(coded: list[tuple[bytes, bytes]]) -> list[list[bytes]]:
+    """Runs, decoded many at a time: each begins with a whole row, so they can follow one another."""
+    out, at = [], 0
+    while at < len(coded):
+        to, n = at, 0
+        while to < len(coded) and (to == at or n + len(coded[to][0]) <= DECODED):
+            n += len(coded[to][0])
+            to += 1
+        rows = iter(decoded(*(b"".join(x) for x in zip(*coded[at:to], strict=True))))
+        out += [list(islice(rows, len(shared))) for shared, _ in coded[at:to]]
+        at = to
+    return out
+
+
 def merged(runs: list[tuple[list[bytes], bytes]]) -> Iterator[tuple[int, int, int]]:
     """(run, place, prefix shared with the one before) of all keys in order, by a loser tree; runs: (sorted keys, shared prefixes)."""
     n = 1
@@ -244,7 +308,7 @@ def _context(key: bytes) -> bytes:
 
 
 def covered(keys: list[bytes], least: list[int]) -> list[int]:
-    """For each of the contexts of one gram: a mask of its strings that a context of a smaller doc_id has."""
+    """For each of the contexts of one key: a mask of its strings that a context of a smaller doc_id has."""
     contexts = [_context(k) for k in keys]
     seen: dict[bytes, int] = {}
     for context, doc in zip(contexts, least, strict=True):
@@ -257,31 +321,33 @@ def covered(keys: list[bytes], least: list[int]) -> list[int]:
 
 # --- the four steps as DataFrames --------------------------------------------
 
-_TABLE = "segment string, bucket int, hashes binary, local binary, docs binary"
+_TABLE = "segment string, bucket int, hashes binary, docs binary"
 
 
 def _bounds(buckets: int, sorted_hashes: np.ndarray) -> np.ndarray:
     return np.searchsorted(sorted_hashes >> np.uint64(32), (np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets), "left")
 
 
+_KINDS = {"segment": pa.string(), "bucket": pa.int32()}
+
+
+def _batch(rows: list[tuple], names: tuple[str, ...]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([r[i] for r in rows], _KINDS.get(n, pa.binary())) for i, n in enumerate(names)], list(names))
+
+
 def _pack(buckets: int):
     def give(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(held)
         ids = np.asarray(table.column("doc_id").cast(pa.int64()).fill_null(_NO_ID))
         data, offs = textbuf.buffers(table.column("text"))
-        texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(offs.astype(np.int64)), pa.py_buffer(data)])
-        sink = pa.BufferOutputStream()
-        out = pa.table({"doc_id": pa.array(ids), "text": texts})
-        with pa.ipc.new_stream(sink, out.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-            w.write_table(out)
-        hashes, _, local = Segment(ids, offs, data).grams()
+        segment = Segment(ids, offs, data)
+        hashes = segment.grams[0]
         to, name = _bounds(buckets, hashes), uuid.uuid4().hex
-        rows = [(name, -1, None, None, sink.getvalue().to_pybytes())]
-        # 5 bytes of a hash are enough within a bucket: one that is wrongly taken for repeated does no harm
-        short = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-        rows += [(name, b, short[to[b] : to[b + 1]].tobytes(), np.packbits(local[to[b] : to[b + 1]]).tobytes(), None) for b in range(buckets) if to[b] < to[b + 1]]
-        kinds = (pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-        yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["segment", "bucket", "hashes", "local", "docs"])
+        # the low half of a hash is enough within a bucket, which the high half chose: one that is wrongly taken for repeated does no harm
+        short = hashes.astype("<u4")
+        rows = [(name, -1, None, segment.pack())]
+        rows += [(name, b, short[to[b] : to[b + 1]].tobytes(), None) for b in range(buckets) if to[b] < to[b + 1]]
+        yield _batch(rows, ("segment", "bucket", "hashes", "docs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -303,30 +369,27 @@ def _repeated(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     for batch in batches:
         names += batch.column("segment").to_pylist()
         raws += batch.column("hashes").to_pylist()
-    wide = np.zeros((sum(map(len, raws)) // 5, 8), np.uint8)
-    wide[:, :5] = np.frombuffer(b"".join(raws), np.uint8).reshape(-1, 5)
-    every = wide.view("<u8").ravel()
-    order = np.argsort(every, kind="stable")
-    first = np.concatenate([[True], every[order][1:] != every[order][:-1]])
-    group = np.cumsum(first) - 1
-    count = np.empty(len(every), np.int64)
-    count[order] = np.bincount(group)[group]
-    at, bucket = 0, key[0].as_py()
+    _, number, counts = np.unique(np.frombuffer(b"".join(raws), "<u4"), return_inverse=True, return_counts=True)
+    count = counts[number]
+    at, bucket, rows = 0, key[0].as_py(), []
     for name, raw in zip(names, raws, strict=True):
-        own = count[at : at + len(raw) // 5]
+        own = count[at : at + len(raw) // 4]
         at += len(own)
-        yield pa.record_batch([pa.array([name]), pa.array([bucket], pa.int32()), pa.array([np.packbits(own > 1).tobytes()], pa.binary()), pa.array([np.packbits(own > HOT_SEGMENTS).tobytes()], pa.binary())], ["segment", "bucket", "repeated", "hot"])
+        hot = own > HOT_SEGMENTS
+        rows.append((name, bucket, np.packbits(own > 1).tobytes(), np.packbits(hot).tobytes() if hot.any() else None))
+    yield _batch(rows, ("segment", "bucket", "repeated", "hot"))
 
 
 def _flags(segment: Segment, answers: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    hashes = segment.grams()[0]
+    hashes = segment.grams[0]
     to = _bounds(buckets, hashes)
     repeated, hot = np.zeros(len(hashes), bool), np.zeros(len(hashes), bool)
     for b, r, o in zip(*(answers.column(c).to_pylist() for c in ("bucket", "repeated", "hot")), strict=True):
         if r is not None:
             n = to[b + 1] - to[b]
             repeated[to[b] : to[b + 1]] = np.unpackbits(np.frombuffer(r, np.uint8), count=n)
-            hot[to[b] : to[b + 1]] = np.unpackbits(np.frombuffer(o, np.uint8), count=n)
+            if o is not None:
+                hot[to[b] : to[b + 1]] = np.unpackbits(np.frombuffer(o, np.uint8), count=n)
     return repeated, hot
 
 
@@ -339,34 +402,40 @@ def _runs(buckets: int):
         for name, packed in zip(left.column("segment").to_pylist(), left.column("docs").to_pylist(), strict=True):
             segment = Segment.unpack(packed)
             found = segment.entries(*_flags(segment, right, buckets))
+            if not len(found.rows):
+                continue
             bucket = ((found.hash >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             to = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for b in np.flatnonzero(np.diff(to)):
-                own = order[to[b] : to[b + 1]]
-                rows.append((name, int(b), *front_coded(found.rows[own]), found.least[own].astype("<i8").tobytes(), own.astype("<u4").tobytes()))
-        kinds = (pa.string(), pa.int32(), *[pa.binary()] * 4)
-        return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["segment", "bucket", "shared", "rests", "docs", "places"])
+            shared, rests = front_coded(found.rows[order], to[:-1][np.diff(to) > 0])
+            ends = np.concatenate([[0], np.cumsum(ROW - np.frombuffer(shared, np.uint8).astype(np.int64))])[to]
+            docs, places = found.least[order].astype("<i8"), order.astype("<u4")
+            for b in np.flatnonzero(np.diff(to)).tolist():
+                own = slice(to[b], to[b + 1])
+                rows.append((name, b, shared[own], rests[ends[b] : ends[b + 1]], docs[own].tobytes(), places[own].tobytes()))
+        return pa.Table.from_batches([_batch(rows, ("segment", "bucket", "shared", "rests", "docs", "places"))])
 
     return run
 
 
 def _merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each segment of a bucket: places of its entries and masks of their strings to remove."""
-    names, runs, docs, places = [], [], [], []
+    names, coded, docs, places = [], [], [], []
     for batch in batches:
         for name, shared, rests, d, p in zip(*(batch.column(c).to_pylist() for c in ("segment", "shared", "rests", "docs", "places")), strict=True):
             names.append(name)
-            runs.append((decoded(shared, rests), shared))
+            coded.append((shared, rests))
             docs.append(np.frombuffer(d, "<i8"))
             places.append(np.frombuffer(p, "<u4"))
+    runs = [(keys, shared) for keys, (shared, _) in zip(all_decoded(coded), coded, strict=True)]
+    del coded
     n = sum(map(len, docs))
     order = np.fromiter((x for found in merged(runs) for x in found), np.int64, 3 * n).reshape(n, 3)
     run, place, shared = order[:, 0], order[:, 1], order[:, 2]
     base = np.cumsum([0] + [len(d) for d in docs])
     doc = np.concatenate(docs)[base[run] + place]
     new_key = shared < ROW
-    new_group = shared < 1 + GRAM
+    new_group = shared < 1 + KEY
     new_key[:1] = new_group[:1] = True
     first = np.flatnonzero(new_key)
     least = np.minimum.reduceat(doc, first)
@@ -382,10 +451,12 @@ def _merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             own[s:e] = covered(keys, least[s:e].tolist())
     of = np.cumsum(new_key) - 1
     mask = np.where(doc > least[of], full[of], own[of])
-    for r, name in enumerate(names):
-        on = np.flatnonzero((run == r) & (mask != 0))
-        if len(on):
-            yield pa.record_batch([pa.array([name]), pa.array([places[r][place[on]].tobytes()], pa.binary()), pa.array([mask[on].astype("<u8").tobytes()], pa.binary())], ["segment", "where", "masks"])
+    on = np.flatnonzero(mask != 0)
+    on = on[np.argsort(run[on], kind="stable")]
+    to = np.searchsorted(run[on], np.arange(len(names) + 1))
+    where, masks = np.concatenate(places)[base[run[on]] + place[on]], mask[on].astype("<u4")
+    rows = [(names[r], where[to[r] : to[r + 1]].tobytes(), masks[to[r] : to[r + 1]].tobytes()) for r in np.flatnonzero(np.diff(to)).tolist()]
+    yield _batch(rows, ("segment", "where", "masks"))
 
 
 def _cut(buckets: int):
@@ -398,11 +469,11 @@ def _cut(buckets: int):
             masks = np.zeros(len(found.rows), np.uint64)
             for where, m in zip(right.column("where").to_pylist(), right.column("masks").to_pylist(), strict=True):
                 if where is not None:
-                    masks[np.frombuffer(where, "<u4")] = np.frombuffer(m, "<u8")
+                    masks[np.frombuffer(where, "<u4")] = np.frombuffer(m, "<u4")
             full = (np.uint64(1) << found.strings.astype(np.uint64)) - np.uint64(1)
             own = np.where(ids[found.doc] > found.least[found.entry], full[found.entry], masks[found.entry])
             starts = np.zeros(len(segment.data) + 1, bool)
-            for j in range(WIDTH):
+            for j in range(REACH):
                 starts[found.lo[(own >> np.uint64(j) & np.uint64(1)).astype(bool)] + j] = True
             sums = np.zeros(len(starts) + 1, np.int32)
             np.cumsum(starts, out=sums[1:])
@@ -416,7 +487,7 @@ def _cut(buckets: int):
                 "n_bytes": pa.array(np.diff(offs)),
                 "n_removed": pa.array(removed),
                 "n_spans": pa.array(spans.astype(np.int64)),
-                "kept": pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(to.astype(np.int64)), pa.py_buffer(segment.data[~gone])]).cast(pa.binary()),
+                "kept": _binary(to, segment.data[~gone]).cast(pa.binary()),
             }
             done.append(pa.table(columns))
         return pa.concat_tables(done)

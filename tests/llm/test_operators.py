@@ -203,6 +203,54 @@ def test_substring_dedup(spark, docs, monkeypatch, hot):
     assert suffix_dedup.report(docs.limit(0)).count() == 0
 
 
+def test_substring_dedup_of_strings_of_just_the_length(spark):
+    rng = random.Random(11)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = [noise(n) for n in (49, 50, 51, 68, 120) for _ in range(12)]
+    rows = [(i, noise(rng.randint(0, 90)) + rng.choice(shared) + noise(rng.randint(0, 90)) + rng.choice(shared)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.report(df).collect()}
+    assert got == brute.substring_dedup(rows)
+
+
+def asked(texts, monkeypatch):
+    """What a bucket answers when each text makes a segment, as a list of batches."""
+    monkeypatch.setattr(suffix_dedup, "SEGMENT_BYTES", 1)
+    batches = [pa.record_batch([pa.array([i]), pa.array([t])], ["doc_id", "text"]) for i, t in enumerate(texts)]
+    rows = pa.Table.from_batches(suffix_dedup._pack(1)(iter(batches)))
+    rows = rows.filter(pa.compute.greater_equal(rows["bucket"], 0))
+    return list(suffix_dedup._repeated((pa.scalar(0),), iter(rows.to_batches())))
+
+
+def test_common_phrases_shorter_than_a_key_send_no_contexts(monkeypatch):
+    rng = random.Random(12)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    phrases = [noise(24) for _ in range(40)]
+    texts = ["".join(noise(40) + p for p in phrases) for _ in range(6)]
+    found = [any(r) for batch in asked(texts, monkeypatch) for r in batch["repeated"].to_pylist()]
+    assert found == [False] * 6
+    passage = noise(60)
+    found = [any(r) for batch in asked([t + passage * (i > 3) for i, t in enumerate(texts)], monkeypatch) for r in batch["repeated"].to_pylist()]
+    assert found == [False] * 4 + [True] * 2
+
+
+def test_a_bucket_answers_all_segments_at_once(monkeypatch):
+    texts = texts_of_a_length(80)
+    answers = asked(texts, monkeypatch)
+    assert len(answers) == 1 and answers[0].num_rows == len(texts)
+    keys = np.zeros((len(texts), suffix_dedup.ROW), np.uint8)
+    keys[:, 0], keys[:, 1], keys[:, -2:] = suffix_dedup.CONTEXT, np.arange(len(texts)) // 2, (suffix_dedup.LENGTH, 1)
+    runs = [(str(i), *suffix_dedup.front_coded(k[None]), np.array([i], "<i8").tobytes(), np.array([7], "<u4").tobytes()) for i, k in enumerate(keys)]
+    batch = pa.record_batch([pa.array(c) for c in zip(*runs, strict=True)], ["segment", "shared", "rests", "docs", "places"])
+    marks = list(suffix_dedup._merge((pa.scalar(0),), iter([batch])))
+    assert len(marks) == 1 and sorted(marks[0]["segment"].to_pylist(), key=int) == [str(i) for i in range(1, len(texts), 2)]
+
+
+def texts_of_a_length(n):
+    rng = random.Random(13)
+    return ["".join(rng.choice("abcdefgh") for _ in range(n)) for _ in range(100)]
+
+
 def test_loser_tree_merges_and_shares():
     rng = random.Random(5)
     runs = [sorted(bytes(rng.choice(b"ab") for _ in range(suffix_dedup.ROW)) for _ in range(rng.randint(0, 9))) for _ in range(6)]
